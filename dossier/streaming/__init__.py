@@ -1,0 +1 @@
+"""Micro-batch drivers around the batch plan."""
