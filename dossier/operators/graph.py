@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from dossier.session import materialise
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether edges (a, b), b < a, are stars: every a has one b, and no b is an a."""
+    parents = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    crowded = parents.where("n > 1").select("a")
+    chained = edges.join(parents.select("a"), "a", "left_semi").select(F.col("b").alias("a")).join(parents.select("a"), "a", "left_semi")
+    return crowded.unionByName(chained).isEmpty()
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """Label every vertex of *edges* with the smallest vertex that it can reach.
 
@@ -15,27 +23,25 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     are ignored; repeated edges count once. An empty table gives an empty result. Each round replaces the graph by
     stars around local minima (a large-star step, then a small-star step), so the number of rounds grows with
     the logarithm of the diameter; every step is a grouped minimum, which combines before its shuffle, and an equi-join.
-    Rounds are written to the shared folder; raises RuntimeError if *max_rounds* do not settle the graph.
+    Rounds are written to the shared folder, and end when all that is left are stars; raises RuntimeError if *max_rounds* don't
+    get there.
     """
-    pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
-    current = materialise(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    before = None
+    pairs = edges.select(F.col(src).alias("x"), F.col(dst).alias("y")).where("x is not null and y is not null")
+    all_edges = materialise(pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "cc")
+    current, loops = all_edges.where("a <> b"), all_edges.where("a = b")
     for _ in range(max_rounds):
-        moved = current.where("a <> b")
-        both = moved.unionByName(moved.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        if _stars(current):
+            break
+        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select("b", "m", "a")
-        star = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(down.select("a", F.col("m").alias("b")))
-        loops = current.where("a = b")
-        current = materialise(star.unionByName(loops).distinct(), "cc")
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+        small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        current = materialise(small.unionByName(down.select("a", F.col("m").alias("b"))).distinct(), "cc")
     else:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
-    roots = current.select(F.col("b").alias("vertex"), F.col("b").alias("component"))
-    return current.select(F.col("a").alias("vertex"), F.col("b").alias("component")).unionByName(roots).groupBy("vertex").agg(F.min("component").alias("component"))
+    # In stars a vertex has one row as a member, or any number as a root or loop, which all name itself.
+    members = current.select(F.col("a").alias("vertex"), F.col("b").alias("component"))
+    roots = current.select(F.col("b").alias("vertex")).unionByName(loops.select(F.col("b").alias("vertex"))).distinct()
+    lonely = roots.join(members.select("vertex"), "vertex", "left_anti")
+    return members.unionByName(lonely.select("vertex", F.col("vertex").alias("component")))
