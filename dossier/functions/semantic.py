@@ -108,7 +108,7 @@ def normalize_country(raw: Column, vocab: Vocabulary | None = None, unicode: boo
 
 def parse_location(raw: Column, vocab: Vocabulary | None = None, unicode: bool = True) -> Column:
     """struct<city, region, country> of "City, Region, Country": one part is a country if it is known as one, else a city."""
-    parts = F.filter(F.transform(F.split(clean_text(raw, unicode), ","), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(clean_text(raw, unicode), ","), lambda x: F.trim(x)), lambda p: p != "")
     n, first = F.size(parts), F.get(parts, F.lit(0))
     known = normalize_country(first, vocab, unicode)["canonical"]
     last = F.try_element_at(parts, F.lit(-1))

@@ -15,7 +15,7 @@ from dossier.operators.graph import connected_components
 from dossier.operators.resolve import blocked_pairs, sequence_ratio, star_edges, uuid5
 from dossier.operators.vote import contribution, evidence_groups, merge_spans, noisy_or, overall_confidence, ranked, recency, vote, year_of
 from dossier.plans.pipeline import Pipeline
-from dossier.sources.adapters import as_list, first_of, gazetteer
+from dossier.sources.adapters import as_list, first_of, with_gazetteer
 from dossier.sources.scan import content_address, detect_type
 from dossier.vocab import COUNTRY_ALIASES, IMPORTANCE, ISO_COUNTRIES, Vocabulary
 
@@ -192,8 +192,8 @@ h AS (SELECT conv_id, turn, skill, gram, row_number() OVER (PARTITION BY conv_id
 SELECT conv_id, turn, skill, gram FROM h WHERE k = 1
 """)
 def gazetteer_hits(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    return c.select("conv_id", "turn", F.explode(gazetteer(F.col("text"), Vocabulary())).alias("h")).select("conv_id", "turn", "h.skill", "h.gram")
+    c = with_gazetteer(table(spark, sf_dir, "conversations"), "text", Vocabulary())
+    return c.select("conv_id", "turn", F.explode("hits").alias("h")).select("conv_id", "turn", "h.skill", "h.gram")
 
 
 @query("""SELECT event_id, coalesce(json_extract_string(props, '$.key'), json_extract_string(props, '$.k')) AS value, 1 AS n FROM events""")
@@ -241,11 +241,11 @@ def candidate_uuid(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT l_orderkey, l_suppkey, max(least(0.999, 0.5 * (1 - l_discount))) AS c FROM lineitem GROUP BY ALL)
+WITH s AS (SELECT l_orderkey, l_suppkey, max(least(0.999, 0.5137 * (1 - l_discount))) AS c FROM lineitem GROUP BY ALL)
 SELECT l_orderkey, round(1 - product(1 - c), 6) AS score FROM s GROUP BY l_orderkey
 """)
 def corroboration(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").withColumn("c", contribution(F.lit(0.5), 1 - F.col("l_discount"), F.lit(1.0)))
+    li = table(spark, sf_dir, "lineitem").withColumn("c", contribution(F.lit(0.5137), 1 - F.col("l_discount"), F.lit(1.0)))
     best = li.groupBy("l_orderkey", "l_suppkey").agg(F.max("c").alias("c"))
     folded = F.array_sort(F.collect_list(F.struct("l_suppkey", "c")))
     return best.groupBy("l_orderkey").agg(F.round(noisy_or(F.transform(folded, lambda x: x["c"])), 6).alias("score"))
@@ -349,7 +349,7 @@ def customer_sources(spark, sf_dir) -> DataFrame:
     line = F.concat_ws(",", "c_name", "mail", phone, "c_mktsegment")
     files = c.groupBy("c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("line")))), lambda x: x["line"]), "\n").alias("body"))
     csvs = files.select(F.concat(F.lit("nation"), F.col("c_nationkey").cast("string"), F.lit(".csv")).alias("origin"), F.encode(F.concat(F.lit("name,email,phone,company\n"), "body"), "UTF-8").alias("content"), F.col("c_nationkey").cast("long").alias("ordinal"))
-    notes = c.where("c_custkey % 5 = 0").select(F.concat(F.lit("n"), F.col("c_custkey").cast("string"), F.lit("_notes.md")).alias("origin"), F.encode(F.concat(F.lit("Candidate: "), "c_name", F.lit("\nPython and kafka.\nreach: "), "mail"), "UTF-8").alias("content"), (1000 + F.col("c_custkey")).alias("ordinal"))
+    notes = c.where("c_custkey % 5 = 0").select(F.concat(F.lit("n"), F.col("c_custkey").cast("string"), F.lit("_notes.md")).alias("origin"), F.encode(F.concat(F.lit("Candidate: "), "c_name", F.lit("\nPython and kafka too\nreach: "), "mail"), "UTF-8").alias("content"), (1000 + F.col("c_custkey")).alias("ordinal"))
     return csvs.unionByName(notes).select("origin", "content", F.lit(None).cast("string").alias("source_type"), F.lit(None).cast("string").alias("ts"), "ordinal")
 
 
