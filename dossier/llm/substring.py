@@ -24,8 +24,8 @@ from dossier.session import materialise, scratch_path
 WINDOW, GRAM = 35, 8
 #: Windows that are looked at together: bounds the arrays for a very long text.
 SEGMENT = 1 << 22
-#: Texts whose windows are checked one by one are found by a broadcast of so many keys at most; more are joined by a shuffle.
-MOST_BROADCAST = 500_000
+#: Texts whose windows are checked one by one are picked out by a broadcast of so many 8-byte keys at most; beyond, by the join alone.
+MOST_BROADCAST = 4_000_000
 #: Runs that an index keeps before it compacts them.
 MOST_RUNS = 4
 
@@ -157,9 +157,10 @@ class FingerprintIndex:
         whole = classes.where("n > 1").select("anchor", "covered", full)
         asked = classes.where("mixed").select("row", F.struct("anchor", "covered", "n", "first", "windows").alias("x")).groupBy("row").agg(F.collect_list("x").alias("xs"))
         asked = materialise(asked.select("row", *(F.col(f"xs.{c}").alias(c) for c in ("anchor", "covered", "n", "first", "windows"))), "asked")
-        few = asked.count() <= MOST_BROADCAST
-        rows = texts.select("row", "text").dropDuplicates(["row"]) if not few else texts.select("row", "text")
-        met = rows.join(F.broadcast(asked) if few else asked, "row")
+        # Only texts that are asked for are shuffled; the others are left out where they are read, as long as the keys can be broadcast.
+        if asked.count() <= MOST_BROADCAST:
+            texts = texts.join(F.broadcast(asked.select("row")), "row", "left_semi")
+        met = texts.select("row", "text").join(asked, "row")
 
         def run(batches):
             for b in batches:
@@ -171,9 +172,9 @@ class FingerprintIndex:
                     prints = window_fingerprints(Words([t]).h, first[at] + offset, window)
                     yield pa.RecordBatch.from_arrays([pa.array(anchor[at]), pa.array(covered[at]), pa.array(n[at]), pa.array(offset.astype(np.int32)), pa.array(prints.view(np.int64))], names=["anchor", "covered", "n", "offset", "print"])
 
-        # Rows that are repeated in *texts* give the same windows again.
-        windows = map_arrow(met, run, "anchor long, covered long, n long, offset int, print long").distinct()
-        twice = windows.groupBy("anchor", "print").agg(F.sum("n").alias("total")).where("total > 1").select("anchor", "print")
+        # A repeated row gives its windows twice, but then its classes count two or more anyway.
+        windows = map_arrow(met, run, "anchor long, covered long, n long, offset int, print long")
+        twice = materialise(windows.groupBy("anchor", "print").agg(F.sum("n").alias("total")).where("total > 1").select("anchor", "print"), "twice")
         bits = windows.join(twice, ["anchor", "print"]).groupBy("anchor", "covered").agg(F.bit_or(F.expr("shiftleft(1L, `offset`)")).alias("mask"))
         return whole.unionByName(bits).groupBy("anchor", "covered").agg(F.bit_or("mask").alias("mask"))
 
@@ -191,7 +192,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     for b in range(batches):
         index.append(rows.where(F.pmod(F.col("row"), F.lit(batches)) == b))
     found = materialise(index.occurrences(), "occurrences")
-    verdicts = index.verdicts(found, rows)
+    verdicts = materialise(index.verdicts(found, rows), "verdicts")
     places = found.select("anchor", "covered", "row", "first").join(verdicts, ["anchor", "covered"])
     places = places.groupBy("row").agg(F.collect_set(F.struct("first", "mask")).alias("x")).select("row", F.col("x.first").alias("first"), F.col("x.mask").alias("mask"))
     marked = rows.join(places, "row", "left").select("key", "text", "first", "mask")
