@@ -7,8 +7,8 @@ of some chunk; each chunk is indexed once for each symbol left out, which enumer
 distance meets in a bucket.
 
 A bucket's members are never paired with each other outright. They are compared with two pivots, links are confirmed on full
-sets, and components formed; only members of buckets that still hold several components are compared one by one, in blocks, by
-their signatures, nearest first.
+sets, and components formed; only members of buckets that still hold several components are compared with each other, in blocks, by
+their signatures: first each with the nearest few of other components, then, once components have grown, whatever is left.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +31,8 @@ SYMBOLS = 64
 MISSED = 1e-5
 #: Members of a bucket that are compared in one task; larger buckets are dealt out as pairs of blocks.
 BLOCK = 2048
-#: Ranks of a member's neighbours (nearest first) that are confirmed in each round of the last stage; None: all others.
-ROUNDS = (4, None)
+#: Rounds of the last stage: so many nearest of other components each, and last whatever is left (None).
+ROUNDS = (1, 8, None)
 #: Keys that are broadcast to find texts; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -158,35 +157,100 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("a", "b").distinct()
 
 
-def _cross_pairs(members: DataFrame, distance: int, low: int, high: int | None) -> DataFrame:
-    """Pairs of different components within the distance, from buckets that hold several components.
-
-    members: bucket, node, label, signature, size (of the bucket). A member's neighbours in its block pair are ranked by
-    distance, whatever their component; pairs with a rank in [low, high) on either side are returned.
+def first_shared(differs: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
+    """For each row of differing symbols, the first bucket (by the symbol it leaves out) that both signatures share; -1 if none."""
+    starts = np.array([a for a, _ in bounds])
+    errors = np.add.reduceat(differs.astype(np.int16), starts, axis=1)
+    chunk = np.argmax(errors <= 1, axis=1)
+    rows = np.arange(len(differs))
+    at = starts[chunk]
+    inside = np.arange(SYMBOLS)[None, :]
+    ends = np.append(starts[1:], SYMBOLS)[chunk]
+    wrong = differs & (inside >= at[:, None]) & (inside < ends[:, None])
+    out = np.where(wrong.any(1), wrong.argmax(1), at)
+    return np.where(errors[rows, chunk] <= 1, out, -1)
+
+
+def close_pairs(group: np.ndarray, own: np.ndarray, slot: np.ndarray, label: np.ndarray, n: np.ndarray, s: np.ndarray, bounds: list[tuple[int, int]], distance: int, percent: int, nearest: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of one group (rows of a group stand together) with different labels, set sizes that allow the similarity and
+    signatures within the distance. Pairs that share several buckets are told by the first. In a group of two blocks only rows of
+    different blocks are compared. *nearest*: only pairs that are among so many closest ones of one of their rows."""
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    mixed = np.zeros(len(group), bool)
+    if len(group):
+        edges = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        two = np.maximum.reduceat(own, edges) != np.minimum.reduceat(own, edges)
+        mixed = np.repeat(two, np.diff(np.append(edges, len(group))))
+    left = np.arange(len(group))
+    for k in range(1, len(group)):
+        left = left[left + k < len(group)]
+        left = left[group[left] == group[left + k]]
+        if not len(left):
+            break
+        i = left[(label[left] != label[left + k]) & (~mixed[left] | (own[left] != own[left + k]))]
+        i = i[np.minimum(n[i], n[i + k]) * 100 >= np.maximum(n[i], n[i + k]) * percent]
+        for a in range(0, len(i), 1 << 15):
+            x = i[a : a + (1 << 15)]
+            differs = s[x] != s[x + k]
+            d = differs.sum(1)
+            ok = d <= distance
+            ok[ok] = first_shared(differs[ok], bounds) == slot[x[ok]]
+            found.append((x[ok], x[ok] + k, d[ok]))
+    i, j, d = (np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64) for c in range(3))
+    if nearest and len(i):
+        row, other, near, pair = np.concatenate((i, j)), np.concatenate((j, i)), np.concatenate((d, d)), np.tile(np.arange(len(i)), 2)
+        order = np.lexsort((other, near, row))
+        sorted_rows = row[order]
+        starts = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1])))
+        rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+        keep = np.zeros(len(i), bool)
+        keep[pair[order[rank < nearest]]] = True
+        i, j = i[keep], j[keep]
+    return i, j
+
+
+def _cross_pairs(members: DataFrame, distance: int, percent: int, bounds: list[tuple[int, int]], nearest: int | None) -> DataFrame:
+    """Pairs (a, b) of close_pairs() in buckets that hold several components.
+
+    members: bucket, slot, node, label, n, signature, size (of the bucket). A bucket of more than BLOCK members is dealt out as pairs of
+    blocks. Groups stand together in sorted partitions and stream through the function, one group at a time held back.
     """
     parts = F.greatest(F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"), F.lit(1))
     dealt = members.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "signature")
+    group = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
+    labels = F.xxhash64("label")
+    rows = dealt.select(group.alias("g"), "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "slot", "node", labels.alias("label"), "n", "signature")
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
     kind = members.schema["node"].dataType.simpleString()
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("node").sort_values("node")
-        s = np.frombuffer(b"".join(pdf["signature"]), np.uint16).reshape(-1, SYMBOLS)
-        node, label, own = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["own"].to_numpy()
-        whole = (own == own[0]).all()
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for i in range(len(s)):
-            d = (s != s[i]).sum(1)
-            near = np.flatnonzero(d <= distance)
-            near = near[(near != i) & (whole | (own[near] != own[i]))]
-            near = near[np.argsort(d[near], kind="stable")][low:high]
-            near = near[label[near] != label[i]]
-            found.append((np.full(len(near), i), near))
-        a, b = (np.concatenate([f[k] for f in found]) for k in range(2))
-        return pd.DataFrame({"a": node[np.minimum(a, b)], "b": node[np.maximum(a, b)]}).drop_duplicates()
-
-    return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}").distinct()
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def told(t: pa.Table):
+            group, own, slot, label, n = (t.column(c).to_numpy() for c in ("g", "own", "slot", "label", "n"))
+            s = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+            a, b = close_pairs(group, own, slot, label, n, s, bounds, distance, percent, nearest)
+            node = t.column("node").combine_chunks()
+            for k in range(0, len(a), 1 << 15):
+                x, y = node.take(pa.array(a[k : k + (1 << 15)])), node.take(pa.array(b[k : k + (1 << 15)]))
+                yield pa.RecordBatch.from_arrays([x, y], names=["a", "b"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            last = b.column(0)[b.num_rows - 1].as_py()
+            changes = np.flatnonzero(b.column(0).to_numpy() != last)
+            cut = int(changes[-1]) + 1 if len(changes) else 0  # what follows may go on in the next batch
+            if cut or (held and held[-1].column(0)[held[-1].num_rows - 1].as_py() != last):
+                yield from told(pa.Table.from_batches([*held, b.slice(0, cut)]))
+                held = []
+            held.append(b.slice(cut))
+        if held:
+            yield from told(pa.Table.from_batches(held))
+
+    # Members are in order of nodes, so a < b.
+    return map_arrow(rows, run, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -210,9 +274,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             for a in range(0, b.num_rows, 4096):
                 part = b.slice(a, 4096)
                 s = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket_keys(s, bounds).ravel().view(np.int64)), part.column(0).take(pa.array(np.repeat(np.arange(len(s)), SYMBOLS)))], names=["bucket", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket_keys(s, bounds).ravel().view(np.int64)), pa.array(np.tile(np.arange(SYMBOLS, dtype=np.int32), len(s))), part.column(0).take(pa.array(np.repeat(np.arange(len(s)), SYMBOLS)))], names=["bucket", "slot", "node"])
 
-    keys = map_arrow(reps.select("node", "signature"), indexed, f"bucket long, node {kind}")
+    keys = map_arrow(reps.select("node", "signature"), indexed, f"bucket long, slot int, node {kind}")
     shared = keys.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high")
     members = materialise(keys.join(shared, "bucket"), "minhash-buckets")
     sets = materialise(_sets(docs, members.select("node").distinct(), key, text, words), "minhash-sets")
@@ -222,19 +286,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     tried = materialise(_near(pairs, reps, distance, percent), "minhash-tried")
     links = materialise(_confirmed(tried, sets, percent), "minhash-links")
     components = materialise(connected_components(links, "a", "b"), "minhash-components")
-    low = 0
-    for high in ROUNDS:
+    for nearest in ROUNDS:
         label = F.coalesce("component", "node")
-        marked = members.join(components.select(F.col("vertex").alias("node"), "component"), "node", "left").select("bucket", "node", "size", label.alias("label"))
+        marked = members.join(components.select(F.col("vertex").alias("node"), "component"), "node", "left").select("bucket", "slot", "node", "size", label.alias("label"))
         several = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-        open_members = materialise(marked.join(several, "bucket", "left_semi"), "minhash-open")
-        if open_members.isEmpty():
+        known = reps.select("node", "n", "signature")
+        apart = materialise(_cross_pairs(marked.join(several, "bucket", "left_semi").join(known, "node"), distance, percent, bounds, nearest), "minhash-apart")
+        if apart.isEmpty():
             break
-        known = reps.groupBy("node").agg(F.first("signature").alias("signature"))
-        found = _cross_pairs(open_members.join(known, "node"), distance, low, high).join(tried, ["a", "b"], "left_anti")
-        found = materialise(_near(found, reps, distance, percent), "minhash-found")
+        found = materialise(apart.join(tried, ["a", "b"], "left_anti"), "minhash-found")
         more = materialise(_confirmed(found, sets, percent), "minhash-more")
-        tried, low = tried.unionByName(found), high
+        tried = tried.unionByName(found)
         if not more.isEmpty():
             links = links.unionByName(more)
             components = materialise(connected_components(links, "a", "b"), "minhash-components")
