@@ -153,7 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     one key the largest counts."""
     words = vocabulary(docs, text)
     good = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg((F.max(quality) == 1).alias("__target")).where("__target")
-    marked = docs.select(key, text).join(good, F.col(key) == F.col("__k"), "left")
+    # Labels grow with the documents, so they aren't broadcast: one plan at every size.
+    marked = docs.select(key, text).join(good.hint("merge"), F.col(key) == F.col("__k"), "left")
     unigrams, bigrams = counts(marked, words, "__target", text)
     return Models(words, unigrams, bigrams)
 
