@@ -1,31 +1,59 @@
 """Cross-entropy difference of two matched n-gram models.
 
-Target and background models are interpolated bigram models over one vocabulary with one hash table of bigram counts, smoothed
-alike; they differ in nothing but their text. A document's score is its loss a token under the target model less that under the
-background model: the lower, the more it resembles the target.
+Target and background models are interpolated bigram models with exact counts of every word and pair of words of the corpus,
+smoothed alike; they differ in nothing but their text. A document's score is its loss a token under the target model less that
+under the background model: the lower, the more it resembles the target.
+
+Words and pairs (grams) are 64-bit keys. Documents are dealt into groups; each group sends its distinct grams with its own counts to
+buckets by the upper bits of the key, where they are summed, and gets the sums back. Groups and buckets are as many
+as the corpus needs, and no table is held whole in one place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossier.llm.common import Words, blocks, map_arrow, mix, utf8
 from dossier.llm.toxicity import lowered
+from dossier.session import materialise, ship_package
 
-#: Words of the vocabulary (the most frequent ones of the whole corpus; all others are one unknown word); cells of the bigram table.
-VOCABULARY, CELLS = 1 << 15, 1 << 18
+#: Bytes of text behind a bucket of grams and in a group of documents: their numbers grow with the input. Buckets at least.
+BUCKET_BYTES, GROUP_BYTES, LEAST_BUCKETS = 1 << 24, 1 << 23, 64
 #: Weight of the unigram model in bigram counts.
 BACKOFF = 4.0
 
+_ONE = np.uint64(1)
+#: What stands before the first word of a text.
+START = np.uint64(0x5D588B656C078965)
+
+
+def word_keys(h: np.ndarray) -> np.ndarray:
+    """Keys of words are odd, those of pairs even."""
+    return mix(h) | _ONE
+
+
+def pair_keys(before: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return mix(mix(before) * np.uint64(0x9E3779B97F4A7C15) + h) & ~_ONE
+
+
+def words_before(w: Words) -> np.ndarray:
+    """The word before each word; before the first word of a text stands a start mark."""
+    before = np.empty_like(w.h)
+    before[1:] = w.h[:-1]
+    before[w.first[:-1][w.first[:-1] < w.first[1:]]] = START
+    return before
+
 
 @dataclass
 class Vocabulary:
+    """Words of a small corpus, to look at or to compare with; the models don't need it."""
+
     words: np.ndarray  # sorted hashes; a word's id is its place, the unknown word's is their number
 
     def ids(self, h: np.ndarray) -> np.ndarray:
@@ -35,141 +63,177 @@ class Vocabulary:
         return np.where(self.words[at] == h, at, len(self.words))
 
     def cells(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """The id of each word and the cell of (word before, word); before the first word of a text stands a start mark."""
-        ids = self.ids(w.h)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        starts = w.first[:-1][w.first[:-1] < w.first[1:]]
-        before[starts] = len(self.words) + 1
-        cell = mix(before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids.astype(np.uint64)) >> np.uint64(64 - CELLS.bit_length() + 1)
-        return ids, cell.astype(np.int64)
+        """The id of each word and the key of (word before, word)."""
+        return self.ids(w.h), pair_keys(words_before(w), w.h)
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): how often each word (as a 64-bit hash) occurs in all texts; summed in each task before it is shuffled."""
+def vocabulary(docs: DataFrame, text: str = "text", size: int | None = None) -> Vocabulary:
+    """The *size* most frequent words (all by default) of a corpus whose words fit the driver; of equally frequent ones those of
+    the smaller hash."""
 
     def run(batches):
-        words, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        held: list[np.ndarray] = []
+        for b in batches:
+            for a, z in blocks(texts := utf8(b, text)):
+                h, n = np.unique(lowered(texts[a:z]).h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
-        def merged():
-            nonlocal words, counts
-            h, n = np.unique(np.concatenate(held), return_counts=True) if held else (words[:0], counts[:0])
-            held.clear()
-            both, at = np.unique(np.concatenate((words, h)), return_inverse=True)
-            counts = np.bincount(at, np.concatenate((counts, n)), minlength=len(both)).astype(np.int64)
-            words = both
+    found = map_arrow(docs.select(text), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
+    top = (found if size is None else found.limit(size)).select("word").toArrow().column("word")
+    return Vocabulary(np.sort(top.to_numpy().view(np.uint64)))
 
-        def sent():
-            for a in range(0, len(words), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(words[a : a + (1 << 16)].view(np.int64)), pa.array(counts[a : a + (1 << 16)])], names=["word", "n"])
 
-        for b in batches:
-            texts = utf8(b, text)
-            for a, z in blocks(texts):
-                held.append(lowered(texts[a:z]).h)
-                if sum(map(len, held)) > 1 << 21:
-                    merged()
-                    if len(words) > 1 << 21:  # bounds a task's memory; what follows is counted anew
-                        yield from sent()
-                        words, counts = words[:0], counts[:0]
-        merged()
-        yield from sent()
-
-    return map_arrow(docs.select(text), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> Vocabulary:
-    """The *size* most frequent words of all texts; of equally frequent ones those of the smaller hash."""
-    top = word_counts(docs, text).orderBy(F.desc("n"), "word").limit(size).select("word").toArrow().column("word")
-    return Vocabulary(np.sort(top.to_numpy().view(np.uint64)))
+def total_bytes(docs: DataFrame, text: str) -> int:
+    return int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
 
 
-@dataclass
-class Models:
-    """Losses by word and cell of both models; row 0 is the target, row 1 the background."""
-
-    vocabulary: Vocabulary
-    unigrams: np.ndarray  # 2 x ids
-    bigrams: np.ndarray  # 2 x cells
-
-    def losses(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Words of each text and its mean loss a word under both models (0 without words)."""
-        w = lowered(texts)
-        n = np.bincount(w.doc, minlength=len(texts))
-        out = np.zeros((2, len(texts)))
-        if len(w.h):
-            ids, cells = self.vocabulary.cells(w)
-            before = np.concatenate(([len(self.vocabulary.words) + 1], ids[:-1]))
-            before[w.first[:-1][w.first[:-1] < w.first[1:]]] = len(self.vocabulary.words) + 1
-            for k in range(2):
-                seen = self.unigrams[k]
-                share = (seen[: len(self.vocabulary.words) + 1] + 1) / (seen[: len(self.vocabulary.words) + 1].sum() + len(self.vocabulary.words) + 1)
-                # Cells are shared by colliding pairs, so a cell counts no more than the word before.
-                pair = np.minimum(self.bigrams[k][cells], seen[before])
-                p = (pair + BACKOFF * share[ids]) / (seen[before] + BACKOFF)
-                out[k] = np.bincount(w.doc, -np.log(p), minlength=len(texts)) / np.maximum(n, 1)
+def planes(x: np.ndarray) -> bytes:
+    """64-bit numbers as bytes, the lowest of all first: compresses well where the upper ones are zero."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def numbers(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def coded(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def decoded(x: bytes) -> np.ndarray:
+    return np.cumsum(numbers(x).view(np.uint64), dtype=np.uint64)
+
+
+class Grams:
+    """The sorted distinct grams of texts (keys), and for every word of the texts its doc and the place in *keys* of itself (word), of the
+    word before it (before) and of both as a pair (pair)."""
+
+    def __init__(self, texts: list[bytes | None]):
+        found = [(w.h, words_before(w) == START, w.doc + a) for a, z in blocks(texts) if len((w := lowered(texts[a:z])).h)]
+        h, first, self.doc = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, (np.uint64, bool, np.int64)[k]) for k in range(3))
+        words, ids = np.unique(np.append(h, START), return_inverse=True)
+        before = np.where(first, ids[-1], np.roll(ids[:-1], 1))
+        pairs, pair = np.unique(before * len(words) + ids[:-1], return_inverse=True)
+        keys = np.concatenate((word_keys(words), pair_keys(words[pairs // len(words)], words[pairs % len(words)])))
+        order = np.argsort(keys)
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.keys, self.word, self.before, self.pair, self.first = keys[order], place[ids[:-1]], place[before], place[len(words) + pair], first
+
+    def counts(self, chosen: np.ndarray) -> np.ndarray:
+        """How often each gram occurs in the chosen texts; the start mark once a text with words."""
+        picked = chosen[self.doc]
+        return sum(np.bincount(at[picked & more], minlength=len(self.keys)) for at, more in ((self.word, True), (self.pair, True), (self.before, self.first)))
+
+    def losses(self, n_texts: int, seen: tuple[np.ndarray, np.ndarray], known: int, totals: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of each text and its mean loss a word under both models (0 without words), with the models' counts of *keys*."""
+        n, out = np.bincount(self.doc, minlength=n_texts), np.zeros((2, n_texts))
+        for k in range(2):
+            share = (seen[k][self.word] + 1) / (totals[k] + known + 1)
+            before = seen[k][self.before]
+            p = (seen[k][self.pair] + BACKOFF * share) / (before + BACKOFF)
+            out[k] = np.bincount(self.doc, -np.log(p), minlength=n_texts) / np.maximum(n, 1)
         return n, out
 
 
-def counts(docs: DataFrame, words: Vocabulary, target: str, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Unigram and bigram counts of the target rows (boolean column *target*) and of all rows. Each task sums its rows in arrays of
-    fixed size; their cells are summed across tasks by a shuffle, and what reaches the driver has a fixed size."""
-    size = len(words.words) + 2
-    sent_words = docs.sparkSession.sparkContext.broadcast(words)
+@dataclass
+class Models:
+    """What the models are counted over: documents, and the keys (__k) of the target. They are counted as documents are scored."""
 
-    def run(batches):
-        sums = np.zeros((2, size + CELLS), np.int64)
-        for b in batches:
-            texts = utf8(b, text)
-            wanted = np.array([x is True for x in b.column(1).to_pylist()], bool)
-            for a, z in blocks(texts):
-                w = lowered(texts[a:z])
-                if not len(w.h):
-                    continue
-                ids, cells = sent_words.value.cells(w)
-                chosen = wanted[a:z][w.doc]
-                starts = w.first[:-1][w.first[:-1] < w.first[1:]]
-                for k, pick in ((0, chosen), (1, None)):
-                    i, c = (ids, cells) if pick is None else (ids[pick], cells[pick])
-                    sums[k, :size] += np.bincount(i, minlength=size)
-                    sums[k, size - 1] += len(starts) if pick is None else int(pick[starts].sum())
-                    sums[k, size:] += np.bincount(c, minlength=CELLS)
-        at = np.flatnonzero(sums.any(0))
-        for a in range(0, len(at), 1 << 16):
-            part = at[a : a + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(sums[0, part]), pa.array(sums[1, part])], names=["cell", "target", "background"])
-
-    rows = map_arrow(docs.select(text, target), run, "cell int, target long, background long")
-    found = rows.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
-    out = np.zeros((2, size + CELLS))
-    at = found.column("cell").to_numpy()
-    out[0, at], out[1, at] = found.column("target").to_numpy(), found.column("background").to_numpy()
-    return out[:, :size], out[:, size:]
+    docs: DataFrame
+    target: DataFrame
+    key: str
+    text: str
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality") -> Models:
-    """Count over all documents; the target are those labelled 1. Null labels and keys are ignored; of several labels of
+    """Models of all documents; the target are those labelled 1. Null labels and keys are ignored; of several labels of
     one key the largest counts."""
-    words = vocabulary(docs, text)
-    good = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg((F.max(quality) == 1).alias("__target")).where("__target")
-    # Labels grow with the documents, so they aren't broadcast: one plan at every size.
-    marked = docs.select(key, text).join(good.hint("merge"), F.col(key) == F.col("__k"), "left")
-    unigrams, bigrams = counts(marked, words, "__target", text)
-    return Models(words, unigrams, bigrams)
+    good = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).cast(docs.schema[key].dataType).alias("__k")).agg((F.max(quality) == 1).alias("__target")).where("__target")
+    return Models(docs, good.select("__k"), key, text)
+
+
+def _dealt(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
+    """Documents (__key, __text) in groups by key (by text without one), and how many groups."""
+    groups = 1 + total_bytes(docs, text) // GROUP_BYTES
+    of = F.when(F.col(key).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(key))
+    dealt = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), F.pmod(of, F.lit(groups)).cast("int").alias("__group"))
+    return dealt.repartition(groups, "__group"), groups
+
+
+SENT = "__group int, bucket int, counts boolean, asks boolean, keys binary, target binary, background binary"
+REPLY = "__group int, bucket int, target binary, background binary, n_words long, n_target long, n_background long"
+
+
+def _sent(dealt: DataFrame, groups: int, target: DataFrame, buckets: int, counts: bool, asks: bool) -> DataFrame:
+    """The distinct grams of each group by bucket with the group's counts. Labels grow with the documents, so they aren't broadcast."""
+    bits = np.uint64(64 - (buckets.bit_length() - 1))
+
+    def run(docs: pa.Table, good: pa.Table) -> pa.Table:
+        texts = docs.column("__text").cast(pa.binary()).to_pylist()
+        g = Grams(texts)
+        wanted = pc.is_in(docs.column("__key"), value_set=good.column("__k").combine_chunks()).to_numpy(zero_copy_only=False).astype(bool) if good.num_rows else np.zeros(len(texts), bool)
+        at = np.append(np.searchsorted(g.keys, np.arange(buckets, dtype=np.uint64) << bits), len(g.keys))
+        rows = [k for k in range(buckets) if at[k] < at[k + 1]] if len(g.doc) else []
+        found = [g.counts(wanted), g.counts(np.ones(len(texts), bool))]
+        columns = [[coded(g.keys[at[k] : at[k + 1]]) for k in rows], *([planes(n[at[k] : at[k + 1]]) for k in rows] for n in found)]
+        same = lambda x, kind: pa.array([x] * len(rows), kind)
+        group = docs.column("__group")[0].as_py() if docs.num_rows else None
+        return pa.table([same(group, pa.int32()), pa.array(rows, pa.int32()), same(counts, pa.bool_()), same(asks, pa.bool_()), *(pa.array(c, pa.binary()) for c in columns)], names=["__group", "bucket", "counts", "asks", "keys", "target", "background"])
+
+    marked = target.select("__k", F.pmod(F.xxhash64("__k"), F.lit(groups)).cast("int").alias("__group"))
+    return dealt.groupBy("__group").cogroup(marked.groupBy("__group")).applyInArrow(run, SENT)
+
+
+def _summed(sent: pa.Table) -> pa.Table:
+    """One bucket: the sums of all groups that count, told to each group that asks, for its own grams. The row of no group (-1) holds
+    the bucket's distinct words and how often they occur."""
+    parts = [decoded(x) for x in sent.column("keys").to_pylist()]
+    counting, asking = sent.column("counts").to_pylist(), sent.column("asks").to_pylist()
+    ends = np.cumsum([0, *map(len, parts)])
+    keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+    sums = []
+    for c in ("target", "background"):
+        total = np.zeros(len(keys), np.int64)
+        for x, counts, a, z in zip(sent.column(c), counting, ends, ends[1:]):
+            if counts:
+                np.add.at(total, at[a:z], numbers(x.as_py()))
+        sums.append(total)
+    word = ((keys & _ONE) == _ONE) & (keys != word_keys(np.array([START]))) & (sums[1] > 0)
+    rows = [j for j, x in enumerate(asking) if x]
+    groups, bucket = sent.column("__group").to_pylist(), sent.column("bucket")[0].as_py()
+    told = [[planes(n[at[ends[j] : ends[j + 1]]]) for j in rows] for n in sums]
+    totals = [int(word.sum()), int(sums[0][word].sum()), int(sums[1][word].sum())]
+    return pa.table(
+        [pa.array([groups[j] for j in rows] + [-1], pa.int32()), pa.array([bucket] * (len(rows) + 1), pa.int32()), *(pa.array([*x, b""], pa.binary()) for x in told), *(pa.array([0] * len(rows) + [t], pa.int64()) for t in totals)],
+        names=["__group", "bucket", "target", "background", "n_words", "n_target", "n_background"],
+    )
 
 
 def score(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_words, loss_target, loss_background, score of every whole text. Texts without words (null, empty) have losses and
-    score 0; repeated rows give repeated results; an empty table gives no rows; other columns are ignored."""
-    sent = docs.sparkSession.sparkContext.broadcast(models)  # VOCABULARY and CELLS bound it
-    kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = utf8(b, text)
-            for a, z in blocks(texts):
-                n, (t, g) = sent.value.losses(texts[a:z])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array(n.astype(np.int64)), pa.array(t), pa.array(g), pa.array(t - g)], names=[key, "n_words", "loss_target", "loss_background", "score"])
-
-    return map_arrow(docs.select(key, text), run, f"`{key}` {kind}, n_words long, loss_target double, loss_background double, score double")
+    score 0; words and pairs that the models haven't seen count 0; repeated rows give repeated results; an empty table gives no
+    rows; other columns are ignored. *docs* are read twice and must be the same both times."""
+    ship_package(docs.sparkSession)
+    same = docs is models.docs and (key, text) == (models.key, models.text)
+    dealt, groups = _dealt(docs, key, text)
+    buckets = max(LEAST_BUCKETS, 1 << (total_bytes(models.docs, models.text) // BUCKET_BYTES).bit_length())
+    sent = _sent(dealt, groups, models.target if same else models.target.limit(0), buckets, same, True)
+    if not same:
+        sent = sent.unionByName(_sent(*_dealt(models.docs, models.key, models.text), models.target, buckets, True, False))
+    replies = materialise(sent.groupBy("bucket").applyInArrow(_summed, REPLY), "grams")
+    known, *totals = replies.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "n_target", "n_background"))).first()
+
+    def judged(part: pa.Table, told: pa.Table) -> pa.Table:
+        texts = part.column("__text").cast(pa.binary()).to_pylist()
+        g = Grams(texts)
+        told = told.sort_by("bucket")
+        seen = [np.concatenate([np.zeros(0, np.int64), *map(numbers, told.column(c).to_pylist())]) for c in ("target", "background")]
+        if len(g.doc) and len(seen[0]) != len(g.keys):
+            raise ValueError("the documents changed while they were scored")
+        n, (t, b) = g.losses(len(texts), seen, known, totals)
+        return pa.table([part.column("__key"), pa.array(n), pa.array(t), pa.array(b), pa.array(t - b)], names=[key, "n_words", "loss_target", "loss_background", "score"])
+
+    told = replies.where("__group >= 0").select("__group", "bucket", "target", "background")
+    out = f"`{key}` {docs.schema[key].dataType.simpleString()}, n_words long, loss_target double, loss_background double, score double"
+    return dealt.groupBy("__group").cogroup(told.groupBy("__group")).applyInArrow(judged, out)

@@ -165,3 +165,28 @@ def test_a_small_vocabulary_folds_rare_words(spark, prose):
     docs, _, _, _ = prose
     v = lm_score.vocabulary(docs, size=3)
     assert len(v.words) == 3 and list(v.words) == sorted(v.words)
+
+
+def test_lm_counts_are_exact_beyond_any_fixed_size(spark):
+    """More words and pairs than a fixed vocabulary and table had room for, against counters of the words themselves."""
+    from collections import Counter
+
+    rng = random.Random(11)
+    texts = {i: " ".join(f"w{rng.randrange(60_000)}" for _ in range(300)) for i in range(300)}
+    texts[300] = texts[7] + " once more"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, quality int")
+    got = {r["doc_id"]: (r["loss_target"], r["loss_background"]) for r in lm_score.score(docs, lm_score.fit(docs, labels)).collect()}
+    known = len({w for t in texts.values() for w in t.split()})
+    assert known > 1 << 15 and len(got) == len(texts)
+    for k, chosen in enumerate(([i for i in range(200) if i % 3 == 0], list(texts))):
+        words, pairs = Counter(), Counter()
+        for i in chosen:
+            ws = texts[i].split()
+            words.update([None, *ws])
+            pairs.update(zip([None, *ws], ws))
+        total = sum(words.values()) - words[None]
+        for i, t in texts.items():
+            ws = t.split()
+            want = -sum(np.log((pairs[v, w] + lm_score.BACKOFF * (words[w] + 1) / (total + known + 1)) / (words[v] + lm_score.BACKOFF)) for v, w in zip([None, *ws], ws)) / len(ws)
+            assert abs(got[i][k] - want) < 1e-9
