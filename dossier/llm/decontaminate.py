@@ -2,13 +2,15 @@
 
 A mask keeps some of the words of a span and ignores the others, so that a changed word spoils only the masks that
 keep it. Hashes of test items and of documents are joined on (mask, hash); around each hit the words are
-compared one by one along the diagonal, and a stretch of the item with enough equal words is an overlap.
+compared one by one along the diagonal, and a stretch of the item with enough equal words is an overlap. Short items, which
+must match as a whole, have masks of their own length: whichever words may differ, one mask ignores them all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,8 @@ from dossier.llm.toxicity import lowered
 MASKS = ("111111", "11011011", "1110010101", "1100110011")
 #: A stretch of so many words (or the whole item, if shorter) with this share of equal words is an overlap.
 STRETCH, SHARE = 13, 0.8
-#: Items of fewer words are not searched for: they can't be told from ordinary text.
-LEAST_WORDS = 6
+#: Items of fewer words (none) are not searched for; items of so many words are reached by MASKS, shorter ones by short_masks().
+LEAST_WORDS, MASKED_WORDS = 1, 12
 #: Test hashes that are broadcast at once; beyond, items are searched for in blocks, each against all documents.
 MOST_HASHES = 1 << 20
 SCREEN = 22
@@ -39,6 +41,19 @@ def masked(h: np.ndarray, mask: str) -> np.ndarray:
     return mix(out ^ np.uint64(hash_of_mask(mask)))
 
 
+def enough(size):
+    """How many of *size* words must be equal."""
+    return np.ceil(SHARE * size - 1e-9).astype(int)
+
+
+def short_masks(n: int) -> list[str]:
+    """Masks over whole items of n words. The words lie in two blocks more than may differ (in one if none may); every mask ignores
+    as many blocks as words may differ."""
+    differ = n - int(enough(np.int64(n)))
+    parts = [set(x.tolist()) for x in np.array_split(np.arange(n), differ + 2 if differ else 1)]
+    return ["".join("0" if any(k in x for x in gone) else "1" for k in range(n)) for gone in combinations(parts, differ)]
+
+
 def hash_of_mask(mask: str) -> int:
     return int("1" + mask, 2) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
 
@@ -60,7 +75,7 @@ class TestIndex:
         found = []
         for i, h in enumerate(words):
             if len(h) >= LEAST_WORDS:
-                for m in MASKS:
+                for m in MASKS if len(h) >= MASKED_WORDS else short_masks(len(h)):
                     x = masked(h, m)
                     found.append((x, np.full(len(x), i), np.arange(len(x))))
         hashes, item, place = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.uint64 if k == 0 else np.int64) for k in range(3))
@@ -74,9 +89,13 @@ class TestIndex:
         if not hasattr(self, "_screen"):
             self._screen = np.zeros(1 << SCREEN, bool)
             self._screen[(self.hashes >> np.uint64(64 - SCREEN)).astype(np.int64)] = True
+            self._sizes = np.array([len(h) for h in self.words])
+            self._offsets, self._flat = np.cumsum(self._sizes) - self._sizes, np.concatenate(self.words)
+            lengths = sorted({n for n in self._sizes.tolist() if LEAST_WORDS <= n < MASKED_WORDS})
+            self._masks = [*(MASKS if self._sizes.max() >= MASKED_WORDS else ()), *(m for n in lengths for m in short_masks(n))]
         w = lowered(texts)
         found = []
-        for m in MASKS:
+        for m in self._masks:
             h = masked(w.h, m)
             at = np.flatnonzero(self._screen[(h >> np.uint64(64 - SCREEN)).astype(np.int64)])
             at = at[w.doc[at] == w.doc[at + len(m) - 1]]
@@ -87,13 +106,27 @@ class TestIndex:
         item, diagonal, doc = (np.concatenate([f[k] for f in found]) for k in range(3))
         if not len(item):
             return []
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for i, d, t in np.unique(np.stack((item, diagonal, doc), 1), axis=0).tolist():
+        short = self._sizes[item] < MASKED_WORDS
+        best: dict[tuple[int, int], tuple[int, int, int]] = self._whole(w, item[short], diagonal[short], doc[short])
+        for i, d, t in np.unique(np.stack((item, diagonal, doc), 1)[~short], axis=0).tolist():
             got = stretch(self.words[i], w.h, d, int(w.first[t]), int(w.first[t + 1]))
             if got and got[2] > best.get((t, i), (0, 0, 0))[2]:
                 best[t, i] = (got[0] - int(w.first[t]), got[1], got[2])
         return [(t, i, *x) for (t, i), x in sorted(best.items())]
 
+    def _whole(self, w: Words, item: np.ndarray, diagonal: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
+        """The best overlap of each text and short item, which is compared as a whole; all candidates at once."""
+        size = self._sizes[item]
+        equal = np.zeros(len(item), np.int64)
+        for k in range(MASKED_WORDS - 1):
+            more = np.flatnonzero(k < size)
+            equal[more] += self._flat[self._offsets[item[more]] + k] == w.h[diagonal[more] + k]
+        good = np.flatnonzero(equal >= enough(size))
+        good = good[np.lexsort((diagonal[good], -equal[good], item[good], doc[good]))]
+        new = np.ones(len(good), bool)
+        new[1:] = (np.diff(item[good]) != 0) | (np.diff(doc[good]) != 0)
+        return {(t, i): (d, n, e) for t, i, d, n, e in zip(*(x[good[new]].tolist() for x in (doc, item, diagonal - w.first[doc], size, equal)))}
+
 
 def stretch(item: np.ndarray, words: np.ndarray, diagonal: int, first: int, end: int) -> tuple[int, int, int] | None:
     """The overlap of an item laid over words[first:end] with its word 0 at *diagonal*: (first word, words, equal words), from the
@@ -103,7 +136,7 @@ def stretch(item: np.ndarray, words: np.ndarray, diagonal: int, first: int, end:
     if b - a < size:
         return None
     same = np.concatenate(([0], np.cumsum(item[a:b] == words[diagonal + a : diagonal + b])))
-    good = np.flatnonzero(same[size:] - same[:-size] >= np.ceil(SHARE * size - 1e-9))
+    good = np.flatnonzero(same[size:] - same[:-size] >= enough(np.int64(size)))
     if not len(good):
         return None
     low, high = int(good[0]), int(good[-1]) + size
@@ -113,7 +146,7 @@ def stretch(item: np.ndarray, words: np.ndarray, diagonal: int, first: int, end:
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and test item that overlap: key, item, first_word, n_words, n_equal.
 
-    Null and empty texts on either side overlap with nothing; items under LEAST_WORDS words are passed over; repeated rows give repeated
+    Null and empty texts on either side overlap with nothing, nor do items without words; repeated rows give repeated
     results; empty tables give no rows; other columns are ignored. Items are taken in blocks of at most about MOST_HASHES hashes, counted
     beforehand; each block is broadcast and joined with all documents.
     """

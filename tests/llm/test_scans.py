@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import re
 
 import pytest
@@ -118,3 +119,29 @@ def test_every_two_substitutions_are_survived():
     for x in range(n):
         for y in range(n):
             assert any(all(m[k] == "0" or p + k not in (x, y) for k in range(len(m))) for m in decontaminate.MASKS for p in range(n - len(m) + 1)), (x, y)
+
+
+@pytest.mark.parametrize("n", range(1, 15))
+def test_every_permitted_substitution_is_found(n):
+    """Items of every length, with every set of words that may differ, and none with one word more."""
+    item = [f"item{k}" for k in range(n)]
+    index = decontaminate.TestIndex.build([7], [" ".join(item).encode()])
+    size = min(n, decontaminate.STRETCH)
+    most = max(d for d in range(size) if size - d >= 0.8 * size - 1e-9)
+    said = lambda gone: " ".join(["before", "it", *(f"other{k}" if k in gone else w for k, w in enumerate(item)), "after"]).encode()
+    for gone in itertools.combinations(range(size), most):
+        found = index.overlaps([b"nothing here", said(gone)])
+        assert [f[:2] for f in found] == [(1, 0)], gone
+        if n <= size:
+            assert found[0][2:] == (2, n, n - most)
+    if n <= size:
+        assert not any(index.overlaps([said(gone)]) for gone in itertools.combinations(range(n), most + 1))
+
+
+def test_short_items_are_found_in_tables(docs_of, spark):
+    docs = [(1, "say open sesame now"), (2, "open the sesame"), (3, "sesame open"), (4, "a b c d e f g"), (5, "a b x d e f g"), (6, "a b x d y f g"), (7, None), (8, "open"), (9, "sesame")]
+    tests = [(10, "Open, sesame!"), (11, "a b c d e f g"), (12, "???")]
+    bench = spark.createDataFrame(tests, "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.find_overlaps(docs_of(docs), bench).collect()}
+    assert got == {(1, 10, 1, 2, 2), (4, 11, 0, 7, 7), (5, 11, 0, 7, 6)}
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs_of(docs), bench).collect()) == [2, 3, 6, 7, 8, 9]
