@@ -47,10 +47,10 @@ FAMILIES = (
     ("mit-0", r"mit no attribution(?: licen[cs]e)?", ("mit", "attribution"), "mit 0", ("",)),
     ("isc", r"isc licen[cs]e", ("isc",), "isc", ("",)),
     ("bsd", r"(?:berkeley software distribution|bsd) licen[cs]e", ("bsd",), "bsd", ("",)),
-    ("bsd-2", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?", ("bsd",), "bsd 2 clause", ("",)),
+    ("bsd-2", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[cs]e)?", ("bsd",), "bsd 2 clause", ("",)),
     ("bsd-3", r"(?:bsd 3 clause|3 clause bsd|new bsd|revised bsd|modified bsd)(?: licen[cs]e)?", ("bsd",), "bsd 3 clause", ("",)),
     ("bsd-4", r"(?:bsd 4 clause|4 clause bsd|original bsd)(?: licen[cs]e)?", ("bsd",), "bsd 4 clause", ("",)),
-    ("0bsd", r"(?:zero clause bsd|0bsd|bsd zero clause)(?: licen[cs]e)?", ("bsd",), "0bsd", ("",)),
+    ("0bsd", r"(?:zero clause bsd|bsd zero clause)(?: licen[cs]e)?", ("bsd",), "0bsd", ("",)),
     ("mpl", r"mozilla public licen[cs]e", ("mozilla",), "mpl", ("1 0", "1 1", "2 0")),
     ("epl", r"eclipse public licen[cs]e", ("eclipse",), "epl", ("1 0", "2 0")),
     ("edl", r"eclipse distribution licen[cs]e", ("eclipse", "distribution"), "edl", ("1 0",)),
@@ -99,6 +99,12 @@ FAMILIES = (
     ("proprietary", r"all rights reserved", ("rights", "reserved"), "proprietary", ("",)),
 )
 
+#: Further names that share no keyword with those above: label, words (a regex), keywords.
+OTHER_NAMES = (
+    ("bsd-2", r"freebsd(?: licen[cs]e)?", ("freebsd",)),
+    ("0bsd", r"0bsd(?: licen[cs]e)?", ("0bsd",)),
+)
+
 #: Creative Commons variants: label, short words, long words.
 COMMONS = (
     ("cc-by", "by", "attribution"),
@@ -129,7 +135,8 @@ CLAUSES = (
     ("wtfpl", r"everyone is permitted to copy and distribute verbatim or modified copies", ("verbatim",)),
     ("artistic", r"the intent of this document is to state the conditions under which a package may be copied", ("intent", "package")),
     ("proprietary", r"(?:confidential and proprietary|proprietary and confidential)", ("proprietary",)),
-    ("proprietary", r"unauthori[sz]ed (?:copying|use|reproduction) of this (?:file|software|document)", ("copying", "software")),
+    ("proprietary", r"unauthorized (?:copying|use|reproduction) of this (?:file|software|document)", ("unauthorized",)),
+    ("proprietary", r"unauthorised (?:copying|use|reproduction) of this (?:file|software|document)", ("unauthorised",)),
 )
 
 
@@ -137,6 +144,7 @@ CLAUSES = (
 def rules() -> tuple[Rule, ...]:
     """The ordered rules: clauses and tags outrank versioned names, which outrank bare names."""
     out = [Rule(label, pattern, keys, 50) for label, pattern, keys in CLAUSES]
+    out += [Rule(label, pattern, keys, 20) for label, pattern, keys in OTHER_NAMES]
     for label, name, keys, tag, versions in FAMILIES:
         first_tag = tag.split()[0]
         out.append(Rule(label, name, keys if label not in ("cc0", "bsd") else (), 20))

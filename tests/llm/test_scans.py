@@ -145,3 +145,46 @@ def test_short_items_are_found_in_tables(docs_of, spark):
     got = {tuple(r) for r in decontaminate.find_overlaps(docs_of(docs), bench).collect()}
     assert got == {(1, 10, 1, 2, 2), (4, 11, 0, 7, 7), (5, 11, 0, 7, 6)}
     assert sorted(r["doc_id"] for r in decontaminate.clean(docs_of(docs), bench).collect()) == [2, 3, 6, 7, 8, 9]
+
+
+def said_by(pattern):
+    """Texts that a rule's regex matches: each alternative, each class member, optional parts absent and present."""
+
+    def texts(parts):
+        out = [""]
+        for op, of in parts:
+            kind = str(op)
+            if kind == "LITERAL":
+                said = [chr(of)]
+            elif kind == "IN":
+                said = [chr(x if str(k) == "LITERAL" else x[0]) for k, x in of]
+            elif kind == "BRANCH":
+                said = [x for branch in of[1] for x in texts(branch)]
+            elif kind == "SUBPATTERN":
+                said = texts(of[3])
+            elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+                said = [x * k for k in sorted({of[0], max(1, of[0])}) for x in texts(of[2])]
+            else:
+                said = {"ANY": ["x"], "ASSERT_NOT": [""]}[kind]
+            out = [a + b for a in out for b in dict.fromkeys(said)]
+        return out
+
+    return texts(re._parser.parse(pattern))
+
+
+def test_every_alternative_passes_its_gate():
+    """What a rule matches holds the rule's keywords, so the gate hides nothing."""
+    gated = license_scan._scanner()
+    for r in license_scan.rules():
+        for t in said_by(r.pattern):
+            assert re.fullmatch(r.pattern, t) and set(r.keywords) <= set(t.split()), (r, t)
+    named = lambda t: {d[2] for d in gated.detections(b" " + t + b" ")}
+    for t, label in ((b"unauthorized use of this document", "proprietary"), (b"unauthorised copying of this file", "proprietary"), (b"freebsd license", "bsd-2"), (b"0bsd license", "0bsd")):
+        assert named(t) == {label}
+
+
+def test_gate_changes_nothing_for_any_alternative():
+    gated, open_ = license_scan._scanner(), license_scan.Scanner(tuple(license_scan.Rule(r.label, r.pattern, (), r.priority) for r in license_scan.rules()))
+    for t in dict.fromkeys(t for r in license_scan.rules() for t in said_by(r.pattern)):
+        line = b" " + t.encode() + b" "
+        assert gated.detections(line) == open_.detections(line) != [], t
