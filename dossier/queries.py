@@ -310,6 +310,14 @@ def clean_ascii_texts(spark, sf_dir):
     return d.select("doc_id", clean_text(F.col("text")).alias("clean"))
 
 
+@query("""
+WITH n AS (SELECT doc_id, regexp_replace(nfc_normalize(coalesce(text, '')), '[\\x00-\\x08\\x0B-\\x1F\\x7F-\\x{9F}\\p{Cf}]', '', 'g') AS t FROM documents)
+SELECT doc_id, trim(regexp_replace(t, '[\\s\\p{Z}]+', ' ', 'g')) AS clean FROM n
+""")
+def clean_texts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("clean"))
+
+
 @query("""
 WITH s AS (SELECT DISTINCT event_type AS s FROM events UNION SELECT DISTINCT p_type FROM part UNION SELECT DISTINCT lang FROM documents)
 SELECT s AS raw, CASE WHEN s = 'es' THEN 'Elasticsearch' WHEN lower(s) = s THEN upper(s[1]) || s[2:] ELSE s END AS value, s = 'es' AS canonical FROM s

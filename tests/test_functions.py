@@ -108,3 +108,17 @@ def test_ids_and_ratio(each, spark):
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
     got = [r[0] for r in df.orderBy("i").select(sequence_ratio("a", "b")).collect()]
     assert got == [None if a is None else difflib.SequenceMatcher(None, a, b).ratio() for a, b in pairs]
+
+
+def test_clean_texts_runs_over_whole_tables(spark, tmp_path):
+    """Null texts and those beyond ASCII are rows like all others, for the query and for its SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    from dossier.queries import QUERIES, SQL
+
+    texts = [*TEXTS, "Café äö", "a b　c ", "soft­hyphen ‍﻿", "\u0085next\x1fline", "漢字 \U0001f642", "x\x80y\x9fz"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = {i: py_clean(t) for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["clean"] for r in QUERIES["clean_texts"](spark, str(tmp_path)).collect()} == want
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert dict(db.execute(SQL["clean_texts"]).fetchall()) == want
