@@ -108,7 +108,8 @@ def bag(texts: list[bytes | None]) -> np.ndarray:
 
 
 def fit(x: np.ndarray, langs: list[str], rounds: int = 60, rate: float = 0.15) -> Model:
-    """Train all bits at once on rows of bag(): logistic loss by Adam over mini-batches in a fixed order. No rows: a model that
+    """Train all bits at once on rows of bag(): logistic loss by Adam over mini-batches in a fixed order, in as many
+    rounds whatever the number of rows. No rows: a model that
     only knows `und`."""
     names = sorted(set(langs))
     if not names:
@@ -123,7 +124,7 @@ def fit(x: np.ndarray, langs: list[str], rounds: int = 60, rate: float = 0.15) -
     w, bias = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     train, step = np.flatnonzero(~held), 0
-    for _ in range(max(1, min(rounds, 40_000 // max(1, len(train)) + 6))):
+    for _ in range(rounds):
         rng.shuffle(train)
         for a in range(0, len(train), 128):
             i = train[a : a + 128]

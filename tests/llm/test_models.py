@@ -190,3 +190,22 @@ def test_lm_counts_are_exact_beyond_any_fixed_size(spark):
             ws = t.split()
             want = -sum(np.log((pairs[v, w] + lm_score.BACKOFF * (words[w] + 1) / (total + known + 1)) / (words[v] + lm_score.BACKOFF)) for v, w in zip([None, *ws], ws)) / len(ws)
             assert abs(got[i][k] - want) < 1e-9
+
+
+def test_languages_are_trained_in_as_many_rounds_at_every_size(monkeypatch):
+    rounds, make = [], np.random.default_rng
+
+    class Counting:
+        def __init__(self, seed):
+            self.rng = make(seed)
+            self.permutation = self.rng.permutation
+
+        def shuffle(self, x):
+            rounds[-1] += 1
+            self.rng.shuffle(x)
+
+    monkeypatch.setattr(langid.np.random, "default_rng", Counting)
+    for n in (20, 900, 5000):
+        rounds.append(0)
+        langid.fit(make(n).random((n, 6), np.float32), [("en", "de")[i % 2] for i in range(n)])
+    assert rounds == [60, 60, 60]
