@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -88,6 +89,28 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
+#: Longer words are hashed by BLAKE2 one by one; shorter ones eight bytes at a time, all together.
+LONG_WORD = 256
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def word_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:end]: every eight bytes are mixed in before the next, so that no pattern of the letters cancels out."""
+    size = end - start
+    eight = np.ndarray((len(data),), "<u8", data + bytes(8), 0, (1,))
+    h = mix(size.astype(np.uint64) * _ODD + _LEFT)
+    left = np.flatnonzero(size <= LONG_WORD)
+    at = 0
+    while len(left):
+        part = eight[start[left] + at] & _KEEP[np.minimum(size[left] - at, 8)]
+        h[left] = mix(h[left] ^ part) * _ODD
+        at += 8
+        left = left[size[left] > at]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return mix(h)
+
+
 class Words:
     """The words of several texts in one run of arrays: h (64-bit hashes), start and end (bytes in *data*), doc, first."""
 
@@ -101,12 +124,7 @@ class Words:
         ends = np.cumsum(sizes)
         self.doc = np.searchsorted(ends, self.start, side="right")
         self.first = np.searchsorted(self.start, np.concatenate(([0], ends)))  # words of text d: first[d] to first[d + 1]
-        self.h = np.empty(len(self.start), np.uint64)
-        step = 1 << 18  # words at once: a very long text needs no wide array of all its bytes
-        for a in range(0, len(self.start), step):
-            start, end = self.start[a : a + step], self.end[a : a + step]
-            value = range_hash(raw[start[0] : end[-1]].astype(np.uint64) + np.uint64(1), start - start[0], end - start[0], BYTE_BASE)
-            self.h[a : a + step] = mix(value ^ (end - start).astype(np.uint64) * _ODD)
+        self.h = word_hashes(self.data, self.start, self.end)
 
     def grams(self, n: int, base: int = WORD_BASE) -> np.ndarray:
         """Hash of the n words from each word on; past a text's end the values mean nothing."""

@@ -6,16 +6,18 @@ signature is split into so many chunks that, by the pigeonhole principle, two si
 of some chunk; each chunk is indexed once for each symbol left out, which enumerates that error. So every pair within the
 distance meets in a bucket.
 
-A bucket's members are never paired with each other outright. They are compared with two pivots, links are confirmed on full
-sets, and components formed; only members of buckets that still hold several components are compared with each other, in blocks, by
-their signatures: first each with the nearest few of other components, then, once components have grown, whatever is left.
+A bucket's members are never paired with each other outright, and no table of candidate pairs exists. First each member is compared with
+the highest centre of its buckets, which gathers most of a group of copies in one component. Then members of buckets that still hold
+several components are dealt into cells, and each visits the cells of the members it shares a bucket with, if their component
+is the larger. Visitors are compared with a cell's members on full sets, inside the task, which tells only links between
+components that it hasn't joined yet: fewer than it has members and visitors.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from math import comb
+from math import comb, prod
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,8 @@ from dossier.session import materialise
 SYMBOLS = 64
 #: The chance with which a pair exactly at the threshold may lie beyond the signature distance.
 MISSED = 1e-5
-#: Members of a bucket that are compared in one task; larger buckets are dealt out as pairs of blocks.
-BLOCK = 2048
-#: Rounds of the last stage: so many nearest of other components each, and last whatever is left (None).
-ROUNDS = (1, 8, None)
+#: Members and visitors of a cell that are compared in one task; a larger cell is dealt out as blocks of members by parts of visitors.
+BLOCK, VISITORS = 512, 2048
 #: Keys that are broadcast to find texts; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -59,6 +59,12 @@ def chunk_bounds(distance: int) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
+def chance_missed(similarity: float, bounds: list[tuple[int, int]]) -> float:
+    """The chance that a pair of this similarity meets in no bucket: every chunk has two errors or more."""
+    q = (1 - similarity) * (1 - 2.0**-16)
+    return prod(1 - (1 - q) ** (b - a) - (b - a) * q * (1 - q) ** (b - a - 1) for a, b in bounds)
+
+
 def shingles(w: Words, words: int) -> list[np.ndarray]:
     """The distinct shingle hashes of each text, sorted; of a text with fewer words, its whole sequence; none without words."""
     grams = {n: w.grams(n, OTHER_BASE) for n in range(1, words + 1)}
@@ -130,127 +136,117 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -
                 sets = shingles(Words([t.lower() if t else b"" for t in texts[a:z]]), words)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    return map_arrow(rows, run, f"node {kind}, shingles array<long>")
+    return map_arrow(rows, run, f"node {kind}, shingles array<long>").where(F.size("shingles") > 0)
+
+
+class Forest:
+    """Labels of a task's rows, joined as links are found."""
+
+    def __init__(self):
+        self.parent: dict = {}
+
+    def root(self, x):
+        parent = self.parent
+        while (up := parent.get(x, x)) != x:
+            parent[x] = up = parent.get(up, up)
+            x = up
+        return x
+
+
+class Cell:
+    """The members of one block: their sets as places in the sorted table of all their shingles."""
+
+    def __init__(self, labels: list, sets: list[np.ndarray], forest: Forest):
+        self.n = np.array([len(s) for s in sets])
+        self.starts = np.cumsum(self.n) - self.n
+        self.known, self.place = np.unique(np.concatenate(sets), return_inverse=True)
+        self.marked = np.zeros(len(self.known), np.int32)
+        self.forest, self.names = forest, list(dict.fromkeys(labels))
+        code = {x: i for i, x in enumerate(self.names)}
+        self.code = np.array([code[x] for x in labels])
+        self.tree = np.arange(len(self.names))  # of each name, the name that stands for all it is joined with
+
+    def links(self, label, shingles: np.ndarray, percent: int) -> list[tuple]:
+        """Links (label, label of a member) of a visitor, one for each component that it isn't joined with yet."""
+        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
+        at = at[self.known[at] == shingles]
+        if not len(at):
+            return []
+        if len(self.n) == 1:
+            common = np.array([len(at)])
+        else:
+            self.marked[at] = 1
+            common = np.add.reduceat(self.marked[self.place], self.starts)
+            self.marked[at] = 0
+        near = np.unique(self.tree[self.code[common * 100 >= percent * (self.n + len(shingles) - common)]])
+        out, own = [], self.forest.root(label)
+        for k in near.tolist():
+            other = self.forest.root(self.names[k])
+            if other != own:
+                out.append((label, self.names[k]))
+                self.forest.parent[other] = own
+            self.tree[self.tree == k] = near[0]
+        return out
 
 
-def _near(pairs: DataFrame, reps: DataFrame, distance: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose set sizes allow the similarity and whose signatures lie within the distance."""
-    side = lambda x: reps.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    kind = pairs.schema["a"].dataType.simpleString()
+def _linked(members: DataFrame, visitors: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """Links (a, b) between components: each visitor (cell, node, label) compared on full sets with the members (cell, node, label) of its cell.
 
-    def run(batches):
-        for b in batches:
-            if b.num_rows:
-                s = [np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for i in (2, 3)]
-                yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array((s[0] != s[1]).sum(1) <= distance))
-
-    return map_arrow(both.select("a", "b", "s_a", "s_b"), run, f"a {kind}, b {kind}").distinct()
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    met = met.select("a", "b", common.alias("common"), (F.size("set_a") + F.size("set_b")).alias("both"))
-    return met.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("a", "b").distinct()
-
-
-def first_shared(differs: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
-    """For each row of differing symbols, the first bucket (by the symbol it leaves out) that both signatures share; -1 if none."""
-    starts = np.array([a for a, _ in bounds])
-    errors = np.add.reduceat(differs.astype(np.int16), starts, axis=1)
-    chunk = np.argmax(errors <= 1, axis=1)
-    rows = np.arange(len(differs))
-    at = starts[chunk]
-    inside = np.arange(SYMBOLS)[None, :]
-    ends = np.append(starts[1:], SYMBOLS)[chunk]
-    wrong = differs & (inside >= at[:, None]) & (inside < ends[:, None])
-    out = np.where(wrong.any(1), wrong.argmax(1), at)
-    return np.where(errors[rows, chunk] <= 1, out, -1)
-
-
-def close_pairs(group: np.ndarray, own: np.ndarray, slot: np.ndarray, label: np.ndarray, n: np.ndarray, s: np.ndarray, bounds: list[tuple[int, int]], distance: int, percent: int, nearest: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of one group (rows of a group stand together) with different labels, set sizes that allow the similarity and
-    signatures within the distance. Pairs that share several buckets are told by the first. In a group of two blocks only rows of
-    different blocks are compared. *nearest*: only pairs that are among so many closest ones of one of their rows."""
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    mixed = np.zeros(len(group), bool)
-    if len(group):
-        edges = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-        two = np.maximum.reduceat(own, edges) != np.minimum.reduceat(own, edges)
-        mixed = np.repeat(two, np.diff(np.append(edges, len(group))))
-    left = np.arange(len(group))
-    for k in range(1, len(group)):
-        left = left[left + k < len(group)]
-        left = left[group[left] == group[left + k]]
-        if not len(left):
-            break
-        i = left[(label[left] != label[left + k]) & (~mixed[left] | (own[left] != own[left + k]))]
-        i = i[np.minimum(n[i], n[i + k]) * 100 >= np.maximum(n[i], n[i + k]) * percent]
-        for a in range(0, len(i), 1 << 15):
-            x = i[a : a + (1 << 15)]
-            differs = s[x] != s[x + k]
-            d = differs.sum(1)
-            ok = d <= distance
-            ok[ok] = first_shared(differs[ok], bounds) == slot[x[ok]]
-            found.append((x[ok], x[ok] + k, d[ok]))
-    i, j, d = (np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64) for c in range(3))
-    if nearest and len(i):
-        row, other, near, pair = np.concatenate((i, j)), np.concatenate((j, i)), np.concatenate((d, d)), np.tile(np.arange(len(i)), 2)
-        order = np.lexsort((other, near, row))
-        sorted_rows = row[order]
-        starts = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1])))
-        rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-        keep = np.zeros(len(i), bool)
-        keep[pair[order[rank < nearest]]] = True
-        i, j = i[keep], j[keep]
-    return i, j
-
-
-def _cross_pairs(members: DataFrame, distance: int, percent: int, bounds: list[tuple[int, int]], nearest: int | None) -> DataFrame:
-    """Pairs (a, b) of close_pairs() in buckets that hold several components.
-
-    members: bucket, slot, node, label, n, signature, size (of the bucket). A bucket of more than BLOCK members is dealt out as pairs of
-    blocks. Groups stand together in sorted partitions and stream through the function, one group at a time held back.
+    A cell of many members or visitors is dealt out as blocks times parts. Its members come first in a sorted partition; visitors stream
+    past them.
     """
-    parts = F.greatest(F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"), F.lit(1))
-    dealt = members.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    group = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
-    labels = F.xxhash64("label")
-    rows = dealt.select(group.alias("g"), "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "slot", "node", labels.alias("label"), "n", "signature")
-    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    kind = members.schema["node"].dataType.simpleString()
-
-    def run(batches):
-        held: list[pa.RecordBatch] = []
-
-        def told(t: pa.Table):
-            group, own, slot, label, n = (t.column(c).to_numpy() for c in ("g", "own", "slot", "label", "n"))
-            s = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-            a, b = close_pairs(group, own, slot, label, n, s, bounds, distance, percent, nearest)
-            node = t.column("node").combine_chunks()
-            for k in range(0, len(a), 1 << 15):
-                x, y = node.take(pa.array(a[k : k + (1 << 15)])), node.take(pa.array(b[k : k + (1 << 15)]))
-                yield pa.RecordBatch.from_arrays([x, y], names=["a", "b"])
+    rows = members.withColumn("visits", F.lit(False)).unionByName(visitors.withColumn("visits", F.lit(True)))
+    counts = rows.groupBy("cell").agg(F.count(F.when(~F.col("visits"), 1)).alias("m"), F.count(F.when(F.col("visits"), 1)).alias("v")).where("m > 0 and v > 0")
+    counts = counts.select("cell", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("m"), F.ceil(F.col("v") / F.lit(VISITORS)).cast("int").alias("v"))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    dealt = rows.join(counts, "cell").select("cell", "node", "label", "visits", own("m").alias("block"), own("v").alias("part"), "m", "v")
+    dealt = dealt.select("cell", "node", "label", "visits", "block", "part", F.explode(F.sequence(F.lit(0), F.when(F.col("visits"), F.col("m")).otherwise(F.col("v")) - 1)).alias("other"))
+    block, part = (F.when(F.col("visits"), F.col(x)).otherwise(F.col(y)) for x, y in (("other", "block"), ("part", "other")))
+    placed = dealt.select("cell", "node", "label", "visits", block.alias("block"), part.alias("part")).join(sets, "node")
+    placed = placed.select(F.xxhash64("cell", "block", "part").alias("g"), "cell", "block", "part", "visits", "label", "shingles")
+    placed = placed.repartition("cell", "block", "part").sortWithinPartitions("cell", "block", "part", "visits", "label")
+    kind = members.schema["label"].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, labels, held, cell, forest = None, [], [], None, None
         for b in batches:
-            if not b.num_rows:
-                continue
-            last = b.column(0)[b.num_rows - 1].as_py()
-            changes = np.flatnonzero(b.column(0).to_numpy() != last)
-            cut = int(changes[-1]) + 1 if len(changes) else 0  # what follows may go on in the next batch
-            if cut or (held and held[-1].column(0)[held[-1].num_rows - 1].as_py() != last):
-                yield from told(pa.Table.from_batches([*held, b.slice(0, cut)]))
-                held = []
-            held.append(b.slice(cut))
-        if held:
-            yield from told(pa.Table.from_batches(held))
-
-    # Members are in order of nodes, so a < b.
-    return map_arrow(rows, run, f"a {kind}, b {kind}").distinct()
+            found = []
+            shingles = b.column(6)
+            for i, (g, visits, label) in enumerate(zip(b.column(0).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist())):
+                if g != at:
+                    at, labels, held, cell, forest = g, [], [], None, Forest()
+                own = shingles[i].values.to_numpy().view(np.uint64)
+                if not visits:
+                    labels.append(label)
+                    held.append(own)
+                    continue
+                if cell is None:
+                    cell = Cell(labels, held, forest) if held else None
+                if cell is not None:
+                    found += cell.links(label, own, percent)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], b.column(5).type) for k in (0, 1)], names=["a", "b"])
+
+    return materialise(map_arrow(placed, run, f"a {kind}, b {kind}").distinct(), name)
+
+
+def _meetings(members: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of members (bucket, node, centre) and the components of nodes: which (cell, node, label) stand in cells, and which visit which cell.
+
+    A node's cell is the highest of its buckets' centres. In a bucket of several components, each node visits the cells of the nodes whose component
+    is larger (in nodes, then by label): so of two nodes with different components one visits the cell of the other.
+    """
+    sized = label.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    known = label.join(sized, "component").select(F.col("vertex").alias("node"), F.struct("size", F.col("component").alias("label")).alias("order"))
+    alone = F.struct(F.lit(1).cast("long").alias("size"), F.col("node").alias("label"))
+    marked = members.join(known, "node", "left").select("bucket", "node", "centre", F.coalesce("order", alone).alias("order"))
+    several = marked.groupBy("bucket").agg(F.min("order").alias("x"), F.max("order").alias("y")).where("x <> y").select("bucket")
+    open_ = materialise(marked.join(several, "bucket", "left_semi"), "minhash-open")
+    cells = open_.groupBy("node").agg(F.max("centre")["node"].alias("cell"), F.first("order").alias("order"))
+    top = open_.join(cells.select("node", "cell"), "node").groupBy("bucket", "cell").agg(F.max("order").alias("top"))
+    top = top.select(F.col("bucket").alias("met"), "cell", "top")
+    visits = open_.join(top, (F.col("bucket") == F.col("met")) & (F.col("order") < F.col("top"))).select("cell", "node", F.col("order.label").alias("label")).distinct()
+    return cells.select("cell", "node", F.col("order.label").alias("label")), materialise(visits, "minhash-visits")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -262,52 +258,48 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     have a null component. Rows that share a key are one document: it is linked as any of its texts is. An empty table gives no
     rows; other columns are ignored. Copies (equal word sequences) are reduced to their smallest key before anything is compared.
     """
-    distance = most_differing(percent / 100)
-    bounds = chunk_bounds(distance)
+    bounds = chunk_bounds(most_differing(percent / 100))
     rows = materialise(_signed_rows(docs, key, text, words), "minhash-rows")
     kind = rows.schema["key"].dataType.simpleString()
     live = rows.where("n_shingles > 0 and key is not null")
-    reps = materialise(live.groupBy("sequence").agg(F.min("key").alias("node"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")), "minhash-reps")
+    reps = materialise(live.groupBy("sequence").agg(F.min("key").alias("node"), F.first("signature").alias("signature")), "minhash-reps")
 
     def indexed(batches):
         for b in batches:
             for a in range(0, b.num_rows, 4096):
                 part = b.slice(a, 4096)
                 s = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket_keys(s, bounds).ravel().view(np.int64)), pa.array(np.tile(np.arange(SYMBOLS, dtype=np.int32), len(s))), part.column(0).take(pa.array(np.repeat(np.arange(len(s)), SYMBOLS)))], names=["bucket", "slot", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket_keys(s, bounds).ravel().view(np.int64)), part.column(0).take(pa.array(np.repeat(np.arange(len(s)), SYMBOLS)))], names=["bucket", "node"])
 
-    keys = map_arrow(reps.select("node", "signature"), indexed, f"bucket long, slot int, node {kind}")
-    shared = keys.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high")
+    keys = map_arrow(reps.select("node", "signature"), indexed, f"bucket long, node {kind}")
+    shared = keys.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high").select("bucket", "size")
     members = materialise(keys.join(shared, "bucket"), "minhash-buckets")
+    # A bucket's centre meets the most others: in a group of copies it is one of the least changed.
+    ranked = members.join(members.groupBy("node").agg(F.sum("size").alias("met")), "node").select("bucket", F.struct("met", "node").alias("rank"))
+    centres = ranked.groupBy("bucket").agg(F.max("rank").alias("centre"))
+    members = materialise(members.select("bucket", "node").join(centres, "bucket"), "minhash-members")
     sets = materialise(_sets(docs, members.select("node").distinct(), key, text, words), "minhash-sets")
 
-    pivots = members.select("node", F.explode(F.array_distinct(F.array("low", "high"))).alias("pivot")).where("node <> pivot")
-    pairs = pivots.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    tried = materialise(_near(pairs, reps, distance, percent), "minhash-tried")
-    links = materialise(_confirmed(tried, sets, percent), "minhash-links")
+    pivots = members.groupBy("node").agg(F.max("centre")["node"].alias("cell")).where("node <> cell")
+    pivots = materialise(pivots, "minhash-pivots")
+    centre = pivots.select("cell").distinct().select("cell", F.col("cell").alias("node"), F.col("cell").alias("label"))
+    links = _linked(centre, pivots.withColumn("label", F.col("node")), sets, percent, "minhash-links")
     components = materialise(connected_components(links, "a", "b"), "minhash-components")
-    for nearest in ROUNDS:
-        label = F.coalesce("component", "node")
-        marked = members.join(components.select(F.col("vertex").alias("node"), "component"), "node", "left").select("bucket", "slot", "node", "size", label.alias("label"))
-        several = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-        known = reps.select("node", "n", "signature")
-        apart = materialise(_cross_pairs(marked.join(several, "bucket", "left_semi").join(known, "node"), distance, percent, bounds, nearest), "minhash-apart")
-        if apart.isEmpty():
-            break
-        found = materialise(apart.join(tried, ["a", "b"], "left_anti"), "minhash-found")
-        more = materialise(_confirmed(found, sets, percent), "minhash-more")
-        tried = tried.unionByName(found)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            components = materialise(connected_components(links, "a", "b"), "minhash-components")
-
-    home = reps.join(components.withColumnRenamed("vertex", "node"), "node", "left").select("sequence", F.coalesce("component", "node").alias("home"))
+    standing, visits = _meetings(members, components)
+    more = _linked(standing, visits, sets, percent, "minhash-more")
+    # Links between components join whole components.
+    joined = connected_components(more, "a", "b").select(F.col("vertex").alias("component"), F.col("component").alias("joined"))
+    lone = reps.select("node").distinct().join(components, F.col("node") == F.col("vertex"), "left").select("node", F.coalesce("component", "node").alias("component"))
+    components = lone.join(joined, "component", "left").select(F.col("node").alias("vertex"), F.coalesce("joined", "component").alias("component"))
+
+    home = reps.join(components.withColumnRenamed("vertex", "node"), "node").select("sequence", F.col("component").alias("home"))
     placed = rows.select("key", "sequence", "n_shingles").join(home, "sequence", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("key").isNotNull(), F.col("home")).otherwise(F.col("key"))
     return placed.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"))
 
 
 def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of *docs* of which no other in their component has a smaller key, with all their columns; rows without a key stay."""
-    gone = near_duplicates(docs, key, text, words, percent).where(~F.col("kept")).select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")
+    """The rows of *docs* of which no other in their component has a smaller key, with all their columns, whatever their names; rows
+    without a key stay."""
+    gone = near_duplicates(docs.select(key, text), key, text, words, percent).where(~F.col("kept")).select(F.col(key).alias("gone")).distinct()
+    return docs.join(gone, docs[key] == gone["gone"], "left_anti")

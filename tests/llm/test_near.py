@@ -58,9 +58,9 @@ def test_chains_and_bridges_are_found(docs_of):
     assert got(minhash.near_duplicates(docs_of(rows), words=3, percent=85)) == components(rows, 3, 85)
 
 
-def test_blocks_and_ranks_change_nothing(docs_of, corpus, monkeypatch):
+def test_blocks_and_parts_change_nothing(docs_of, corpus, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 3)
-    monkeypatch.setattr(minhash, "ROUNDS", (None,))
+    monkeypatch.setattr(minhash, "VISITORS", 2)
     words = [f"w{k}" for k in range(300)]
     rows = corpus + [(200 + i, " ".join(words[3 * i : 3 * i + 90])) for i in range(40)]
     assert got(minhash.near_duplicates(docs_of(rows), words=3, percent=85)) == components(rows, 3, 85)
@@ -89,6 +89,62 @@ def test_every_pair_within_the_distance_meets():
             assert np.intersect1d(minhash.bucket_keys(s, bounds), minhash.bucket_keys(t, bounds)).size
 
 
+def test_chance_of_meeting_in_no_bucket():
+    rng = np.random.default_rng(3)
+    for percent in (80, 85):
+        bounds = minhash.chunk_bounds(minhash.most_differing(percent / 100))
+        assert minhash.chance_missed(percent / 100, bounds) < 2e-9
+    wrong = rng.random((100_000, minhash.SYMBOLS)) < 0.4
+    lost = np.add.reduceat(wrong, [a for a, _ in bounds], axis=1, dtype=np.int64).min(1) > 1
+    assert abs(lost.mean() - minhash.chance_missed(0.6, bounds)) < 0.003
+
+
+def hot_group(n):
+    """Copies of one text with one to four words replaced: about a quarter is linked with nothing."""
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(n):
+        own = list(words)
+        for at in rng.choice(120, int(rng.integers(1, 5)), replace=False).tolist():
+            own[at] = f"x{rng.integers(1 << 40)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_steps_grow_with_a_hot_group_in_proportion(docs_of, monkeypatch):
+    sizes = {}
+    for n in (300, 1200):
+        rows, counted = hot_group(n), {}
+        kept = minhash.materialise
+
+        def count(df, name, kept=kept, counted=counted):
+            out = kept(df, name)
+            counted[name] = counted.get(name, 0) + out.count()
+            return out
+
+        monkeypatch.setattr(minhash, "materialise", count)
+        out = got(minhash.near_duplicates(docs_of(rows), words=3, percent=85))
+        monkeypatch.setattr(minhash, "materialise", kept)
+        sizes[n] = counted
+        if n == 300:
+            assert out == components(rows, 3, 85)
+    told = {n: s.pop("minhash-more") for n, s in sizes.items()}  # links told in a block: fewer than its members and visitors
+    assert told[300] < 300 and told[1200] < 2400, told
+    assert all(sizes[1200][k] <= 6.5 * max(x, 20) for k, x in sizes[300].items()), sizes
+
+
+def test_words_that_fold_alike_are_told_apart(docs_of):
+    """Thue-Morse words, which polynomial hashes modulo a power of two confuse."""
+    def morse(n, a, b):
+        return a if n == 0 else morse(n - 1, a, b) + morse(n - 1, b, a)
+
+    rows = [(1, morse(10, "a", "b")), (2, morse(10, "b", "a")), (3, morse(5, "a", "b")), (4, morse(5, "b", "a"))]
+    assert got(minhash.near_duplicates(docs_of(rows), words=3, percent=85)) == components(rows, 3, 85)
+    long = [(i, " ".join([t] * 36)) for i, t in rows]
+    assert told(substring.remove_repeats(docs_of(long))) == removed(long, 35)
+
+
 def test_distances_hold_practically_all_pairs():
     rng = np.random.default_rng(2)
     for percent in (80, 85):
