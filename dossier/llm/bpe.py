@@ -20,11 +20,14 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossier.llm.common import map_arrow, utf8
+from dossier.llm.common import map_arrow, numbered
 
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 15, 1 << 9
 #: A pre-token that ends so many characters before its chunk does can't change with what follows.
 MARGIN = 8
+#: A text with a longer run of white space is split here and encoded pre-token by pre-token: the encoder's own splitter gives up on such runs.
+LONG_RUN = 1 << 15
+_RUN = regex.compile(r"\p{White_Space}{%d}" % LONG_RUN)
 
 
 @lru_cache(maxsize=4)
@@ -39,6 +42,16 @@ def _tokenizer(ranks_path: str, pattern: str) -> tuple[tiktoken.Encoding, list[b
     return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), table, regex.compile(spelled)
 
 
+def encode_piece(text: str, encoding: tiktoken.Encoding, split: regex.Pattern) -> list[int]:
+    """The ids of a text that is cut no further."""
+    if len(text) < LONG_RUN or not _RUN.search(text):
+        return encoding.encode_ordinary(text)
+    out: list[int] = []
+    for m in split.finditer(text):
+        out += encoding._encode_single_piece(m[0])
+    return out
+
+
 def chunks(text: str, size: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[tuple[int, str]]:
     """(start, chunk): each chunk holds *size* characters of its own and *overlap* of the next."""
     if overlap < 2 * MARGIN or size <= overlap:
@@ -77,10 +90,10 @@ def encode_text(text: str, ranks_path: str, pattern: str, size: int = CHUNK_CHAR
     """Encode one text by chunks, all in this process."""
     encoding, _, split = _tokenizer(ranks_path, pattern)
     if len(text) <= size:
-        return encoding.encode_ordinary(text)
+        return encode_piece(text, encoding, split)
     marks = [(s, s + len(c), safe_starts(c, pre_tokens(c, split)) + s) for s, c in chunks(text, size, overlap)]
     cuts = [c for c in stitch(marks) if c is not None] + [len(text)]
-    return [i for a, b in zip(cuts, cuts[1:]) for i in encoding.encode_ordinary(text[a:b])]
+    return [i for a, b in zip(cuts, cuts[1:]) for i in encode_piece(text[a:b], encoding, split)]
 
 
 def _with_file(path: str, name: str) -> str:
@@ -94,36 +107,36 @@ def _with_file(path: str, name: str) -> str:
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids", size: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
     """*docs* with column *out*: the token ids (array<int>) of each text. A null text counts as empty and has no ids; repeated
-    rows each get theirs; an empty table gives no rows; names that begin with __bpe are reserved.
+    rows each get theirs; an empty table gives no rows; other columns may bear any names, and one named *out* is replaced.
 
     Texts up to *size* characters are encoded where they are read. Longer ones are reduced to distinct texts, then their
     chunks spread over all tasks; only the safe starts inside overlaps are gathered by text for stitching.
     """
     ship_ranks(docs, ranks_path)
     name = ranks_path.rsplit("/", 1)[-1]
+    names, docs = [c for c in docs.columns if c != out], docs.drop(out)
+    docs, text = numbered(docs), f"c{names.index(text)}"
     fields = docs.columns
-    if any(c.startswith("__bpe") for c in fields):
-        raise ValueError("names that begin with __bpe are reserved")
     body = F.coalesce(F.col(text), F.lit(""))
     # Bytes bound characters from above, so a text that isn't long in bytes is short.
     long_text = (F.octet_length(body) > size) & (F.char_length(body) > size)
 
     def short_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, _, _ = _tokenizer(_with_file(ranks_path, name), pattern)
+        encoding, _, split = _tokenizer(_with_file(ranks_path, name), pattern)
         for b in batches:
             texts = b.column(b.schema.get_field_index("__bpe_text")).to_pylist()
             for a in range(0, len(texts), 256):
-                ids = [encoding.encode_ordinary(t) for t in texts[a : a + 256]]
+                ids = [encode_piece(t, encoding, split) for t in texts[a : a + 256]]
                 offsets = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum([len(x) for x in ids], out=offsets[1:])
                 flat = np.fromiter((i for x in ids for i in x), np.int32, int(offsets[-1]))
                 part = b.slice(a, len(ids))
                 kept = [part.column(i) for i, c in enumerate(b.schema.names) if c != "__bpe_text"]
-                yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[*fields, out])
+                yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[*fields, "__bpe_ids"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    short = map_arrow(docs.where(~long_text).withColumn("__bpe_text", body), short_ids, f"{kinds}, `{out}` array<int>")
-    return short.unionByName(_encode_long(docs.where(long_text), ranks_path, name, pattern, text, out, size, overlap))
+    short = map_arrow(docs.where(~long_text).withColumn("__bpe_text", body), short_ids, f"{kinds}, __bpe_ids array<int>")
+    return short.unionByName(_encode_long(docs.where(long_text), ranks_path, name, pattern, text, "__bpe_ids", size, overlap)).toDF(*names, out)
 
 
 def ship_ranks(df: DataFrame, ranks_path: str) -> None:
@@ -168,7 +181,7 @@ def _encode_long(docs: DataFrame, ranks_path: str, name: str, pattern: str, text
         return pdf[["__bpe_key", "__bpe_i"]].assign(__bpe_piece=np.array(pieces, np.int32), __bpe_cut=[-1 if c is None else c for c in cuts], __bpe_end=ends)
 
     def piece_ids(batches):
-        encoding, _, _ = _tokenizer(_with_file(ranks_path, name), pattern)
+        encoding, _, split = _tokenizer(_with_file(ranks_path, name), pattern)
         for b in batches:
             keys, numbers, parts = (b.column(i).to_pylist() for i in range(3))
             ids = []
@@ -176,7 +189,7 @@ def _encode_long(docs: DataFrame, ranks_path: str, name: str, pattern: str, text
                 group = sorted(group, key=lambda x: x["i"])
                 cut_at, end = group[0]["cut"], group[0]["end"]
                 body = "".join(x["chunk"][: (group[k + 1]["at"] if k + 1 < len(group) else end) - x["at"]] for k, x in enumerate(group))
-                ids.append(encoding.encode_ordinary(body[cut_at - group[0]["at"] : end - group[0]["at"]]))
+                ids.append(encode_piece(body[cut_at - group[0]["at"] : end - group[0]["at"]], encoding, split))
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(numbers, pa.int32()), pa.array(ids, pa.list_(pa.int32()))], names=["__bpe_key", "__bpe_piece", "__bpe_ids"])
 
     keyed = docs.withColumn("__bpe_key", F.sha2(F.col(text), 256))
@@ -196,21 +209,22 @@ def _encode_long(docs: DataFrame, ranks_path: str, name: str, pattern: str, text
 
 def decode(coded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """*coded* with column *out*: the bytes of the ids (binary), concatenated as they come; they need not be valid UTF-8. Null ids
-    count as none; an id outside the vocabulary raises an error."""
+    count as none; an id outside the vocabulary raises an error; a column named *out* is replaced."""
     ship_ranks(coded, ranks_path)
+    names, coded = [c for c in coded.columns if c != out], coded.drop(out)
+    coded, at = numbered(coded), names.index(ids)
     name, fields = ranks_path.rsplit("/", 1)[-1], coded.columns
 
     def to_bytes(batches):
         _, table, _ = _tokenizer(_with_file(ranks_path, name), pattern)
         for b in batches:
-            at = b.schema.get_field_index(ids)
             for a in range(0, b.num_rows, 256):
                 part = b.slice(a, 256)
                 texts = [b"".join(map(table.__getitem__, x)) if x else b"" for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*fields, out])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*fields, "__bpe_bytes"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields)
-    return map_arrow(coded, to_bytes, f"{kinds}, `{out}` binary")
+    return map_arrow(coded, to_bytes, f"{kinds}, __bpe_bytes binary").toDF(*names, out)
 
 
 def digests(coded: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

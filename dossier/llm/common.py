@@ -21,6 +21,11 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """*df* with its columns named c0, c1, ...: whatever a caller's columns are called, they can't clash with others then."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A string column as bytes objects."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()

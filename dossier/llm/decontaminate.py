@@ -1,15 +1,16 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A mask keeps some of the words of a span and ignores the others, so that a changed word spoils only the masks that
-keep it. Hashes of test items and of documents are joined on (mask, hash); around each hit the words are
-compared one by one along the diagonal, and a stretch of the item with enough equal words is an overlap. Short items, which
+keep it. Hashes of test items and of documents are joined (a hash tells its mask); along the diagonals of the hits the words are
+compared one by one, and a stretch of the item with enough equal words is an overlap. Short items, which
 must match as a whole, have masks of their own length: whichever words may differ, one mask ignores them all.
+
+Documents give only hashes that a bitmap of the test hashes' upper bits lets through, each once a text. Equal texts are one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -17,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossier.llm.common import WORD_BASE, Words, blocks, map_arrow, mix, utf8
+from dossier.llm.common import WORD_BASE, blocks, map_arrow, mix, numbered, utf8
 from dossier.llm.toxicity import lowered
+from dossier.session import materialise
 
 #: Fixed masks: 1 keeps a word, 0 ignores it. Each keeps six words; they ignore different places.
 MASKS = ("111111", "11011011", "1110010101", "1100110011")
@@ -26,9 +28,12 @@ MASKS = ("111111", "11011011", "1110010101", "1100110011")
 STRETCH, SHARE = 13, 0.8
 #: Items of fewer words (none) are not searched for; items of so many words are reached by MASKS, shorter ones by short_masks().
 LEAST_WORDS, MASKED_WORDS = 1, 12
-#: Test hashes that are broadcast at once; beyond, items are searched for in blocks, each against all documents.
-MOST_HASHES = 1 << 20
+#: Bits of the bitmap that is broadcast: 512 KB, however many test items there are.
 SCREEN = 22
+#: Keys (16 bytes each) that are broadcast to find texts; more are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
+#: Diagonals times words that are compared at once.
+CELLS = 1 << 21
 
 
 def masked(h: np.ndarray, mask: str) -> np.ndarray:
@@ -58,144 +63,143 @@ def hash_of_mask(mask: str) -> int:
     return int("1" + mask, 2) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
 
 
-@dataclass
-class TestIndex:
-    """Sorted hashes of test items with the item and word they came from, and all items' word hashes."""
-
-    ids: list
-    words: list[np.ndarray]
-    hashes: np.ndarray
-    item: np.ndarray
-    place: np.ndarray
-
-    @classmethod
-    def build(cls, ids: list, texts: list[bytes | None]) -> TestIndex:
-        w = lowered(texts)
-        words = [w.h[a:b].copy() for a, b in zip(w.first, w.first[1:])]
-        found = []
-        for i, h in enumerate(words):
-            if len(h) >= LEAST_WORDS:
-                for m in MASKS if len(h) >= MASKED_WORDS else short_masks(len(h)):
-                    x = masked(h, m)
-                    found.append((x, np.full(len(x), i), np.arange(len(x))))
-        hashes, item, place = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.uint64 if k == 0 else np.int64) for k in range(3))
-        order = np.argsort(hashes, kind="stable")
-        return cls(ids, words, hashes[order], item[order], place[order])
-
-    def overlaps(self, texts: list[bytes | None]) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, first word in the text, words compared, equal words) of the best overlap of each text and item."""
-        if not len(self.hashes):
-            return []
-        if not hasattr(self, "_screen"):
-            self._screen = np.zeros(1 << SCREEN, bool)
-            self._screen[(self.hashes >> np.uint64(64 - SCREEN)).astype(np.int64)] = True
-            self._sizes = np.array([len(h) for h in self.words])
-            self._offsets, self._flat = np.cumsum(self._sizes) - self._sizes, np.concatenate(self.words)
-            lengths = sorted({n for n in self._sizes.tolist() if LEAST_WORDS <= n < MASKED_WORDS})
-            self._masks = [*(MASKS if self._sizes.max() >= MASKED_WORDS else ()), *(m for n in lengths for m in short_masks(n))]
-        w = lowered(texts)
-        found = []
-        for m in self._masks:
-            h = masked(w.h, m)
-            at = np.flatnonzero(self._screen[(h >> np.uint64(64 - SCREEN)).astype(np.int64)])
-            at = at[w.doc[at] == w.doc[at + len(m) - 1]]
-            low, high = np.searchsorted(self.hashes, h[at], "left"), np.searchsorted(self.hashes, h[at], "right")
-            n = high - low
-            reached = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            found.append((self.item[reached], np.repeat(at, n) - self.place[reached], np.repeat(w.doc[at], n)))
-        item, diagonal, doc = (np.concatenate([f[k] for f in found]) for k in range(3))
-        if not len(item):
-            return []
-        short = self._sizes[item] < MASKED_WORDS
-        best: dict[tuple[int, int], tuple[int, int, int]] = self._whole(w, item[short], diagonal[short], doc[short])
-        for i, d, t in np.unique(np.stack((item, diagonal, doc), 1)[~short], axis=0).tolist():
-            got = stretch(self.words[i], w.h, d, int(w.first[t]), int(w.first[t + 1]))
-            if got and got[2] > best.get((t, i), (0, 0, 0))[2]:
-                best[t, i] = (got[0] - int(w.first[t]), got[1], got[2])
-        return [(t, i, *x) for (t, i), x in sorted(best.items())]
-
-    def _whole(self, w: Words, item: np.ndarray, diagonal: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
-        """The best overlap of each text and short item, which is compared as a whole; all candidates at once."""
-        size = self._sizes[item]
-        equal = np.zeros(len(item), np.int64)
-        for k in range(MASKED_WORDS - 1):
-            more = np.flatnonzero(k < size)
-            equal[more] += self._flat[self._offsets[item[more]] + k] == w.h[diagonal[more] + k]
-        good = np.flatnonzero(equal >= enough(size))
-        good = good[np.lexsort((diagonal[good], -equal[good], item[good], doc[good]))]
-        new = np.ones(len(good), bool)
-        new[1:] = (np.diff(item[good]) != 0) | (np.diff(doc[good]) != 0)
-        return {(t, i): (d, n, e) for t, i, d, n, e in zip(*(x[good[new]].tolist() for x in (doc, item, diagonal - w.first[doc], size, equal)))}
-
-
-def stretch(item: np.ndarray, words: np.ndarray, diagonal: int, first: int, end: int) -> tuple[int, int, int] | None:
-    """The overlap of an item laid over words[first:end] with its word 0 at *diagonal*: (first word, words, equal words), from the
-    first to the last qualifying stretch; None if none qualifies."""
-    a, b = max(0, first - diagonal), min(len(item), end - diagonal)
-    size = min(STRETCH, len(item))
-    if b - a < size:
-        return None
-    same = np.concatenate(([0], np.cumsum(item[a:b] == words[diagonal + a : diagonal + b])))
-    good = np.flatnonzero(same[size:] - same[:-size] >= enough(np.int64(size)))
-    if not len(good):
-        return None
-    low, high = int(good[0]), int(good[-1]) + size
-    return diagonal + a + low, high - low, int(same[high] - same[low])
+def masks_of(n: int) -> list[str] | tuple[str, ...]:
+    """The masks by which an item of n words is searched for."""
+    return MASKS if n >= MASKED_WORDS else short_masks(n) if n >= LEAST_WORDS else ()
+
+
+def diagonals(item: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Where word 0 of the item would stand in the text (it may lie outside), for each place where a mask hits."""
+    marked = np.zeros(len(item) + len(words), bool)
+    for m in masks_of(len(item)):
+        own, other = masked(item, m), masked(words, m)
+        at = np.flatnonzero(np.isin(other, own))
+        if len(at):
+            told = other[at]
+            for place in np.flatnonzero(np.isin(own, told)).tolist():
+                marked[at[told == own[place]] - place + len(item)] = True
+    return np.flatnonzero(marked) - len(item)
+
+
+def best_overlap(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int] | None:
+    """(first word, words compared, equal words) of the overlap with the most equal words, of equally good ones the first; None without any.
+    On each diagonal it reaches from the first qualifying stretch to the last."""
+    n, best = len(item), None
+    size = min(STRETCH, n)
+    least = enough(np.int64(size)) if n else 0
+    found = diagonals(item, words) if n else np.zeros(0, np.int64)
+    step = max(1, CELLS // max(1, n))
+    for a in range(0, len(found), step):
+        d = found[a : a + step]
+        at = d[:, None] + np.arange(n)
+        inside = (at >= 0) & (at < len(words))
+        same = np.zeros((len(d), n + 1), np.int32)
+        np.cumsum(inside & (words[np.clip(at, 0, len(words) - 1)] == item), axis=1, out=same[:, 1:])
+        low, high = np.maximum(0, -d), np.minimum(n, len(words) - d)  # words of the item that lie inside the text
+        starts = np.arange(n - size + 1)
+        good = (same[:, size:] - same[:, : n - size + 1] >= least) & (starts >= low[:, None]) & (starts + size <= high[:, None])
+        rows = np.flatnonzero(good.any(1))
+        if not len(rows):
+            continue
+        first, last = good[rows].argmax(1), n - size - good[rows][:, ::-1].argmax(1) + size
+        equal = same[rows, last] - same[rows, first]
+        k = int(np.lexsort((d[rows] + first, -equal))[0])
+        told = (int(d[rows[k]] + first[k]), int(last[k] - first[k]), int(equal[k]))
+        if best is None or told[2] > best[2]:
+            best = told
+    return best
+
+
+def _row(text: str):
+    return F.unhex(F.md5(text))
+
+
+def _seeds(items: DataFrame) -> DataFrame:
+    """h, ref, n: the distinct masked hashes of each item and its number of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = utf8(b, "item_text")
+            for a, z in blocks(texts):
+                w = lowered(texts[a:z])
+                for i, (x, y) in enumerate(zip(w.first.tolist(), w.first[1:].tolist()), a):
+                    found = [masked(w.h[x:y], m) for m in masks_of(y - x)]
+                    h = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([b.column(0)[i].as_py()] * len(h), pa.binary()), pa.array(np.full(len(h), y - x, np.int32))], names=["h", "ref", "n"])
 
+    return map_arrow(items.select("ref", "item_text"), run, "h long, ref binary, n int")
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per document and test item that overlap: key, item, first_word, n_words, n_equal.
 
-    Null and empty texts on either side overlap with nothing, nor do items without words; repeated rows give repeated
-    results; empty tables give no rows; other columns are ignored. Items are taken in blocks of at most about MOST_HASHES hashes, counted
-    beforehand; each block is broadcast and joined with all documents.
-    """
-    tests = benchmark.select(F.col(item).alias("__item"), F.col(item_text).alias("__text")).where("__text is not null")
-    total = tests.agg(F.sum(F.length("__text"))).first()[0] or 0
-    n = max(1, -(-int(total) * len(MASKS) // (2 * MOST_HASHES)))
-    parts = [_search(docs, tests.where(F.pmod(F.xxhash64("__item", "__text"), F.lit(n)) == b), key, text, item) for b in range(n)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _search(docs: DataFrame, tests: DataFrame, key: str, text: str, item: str) -> DataFrame:
-    rows = tests.orderBy("__item", "__text").collect()  # one block: bounded by MOST_HASHES
-    index = TestIndex.build([r[0] for r in rows], [r[1].encode() for r in rows])
-    sent = docs.sparkSession.sparkContext.broadcast(index)
-    kind, item_kind = docs.schema[key].dataType.simpleString(), tests.schema["__item"].dataType.simpleString()
+def _hits(texts: DataFrame, seeds: DataFrame) -> DataFrame:
+    """row, ref: the texts (row, text) and items that share a masked hash."""
+    lengths = sorted(r[0] for r in seeds.where(F.col("n") < MASKED_WORDS).select("n").distinct().collect())  # fewer than MASKED_WORDS
+    long = not seeds.where(F.col("n") >= MASKED_WORDS).isEmpty()
+    masks = [*(MASKS if long else ()), *(m for n in lengths for m in short_masks(n))]
+    places = seeds.select(F.shiftrightunsigned("h", 64 - SCREEN).cast("int").alias("p")).distinct().toArrow().column("p").to_numpy()  # at most 2 ** SCREEN
+    screen = np.zeros(1 << SCREEN, bool)
+    screen[places] = True
+    sent = texts.sparkSession.sparkContext.broadcast(np.packbits(screen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = np.unpackbits(sent.value).astype(bool)
         for b in batches:
-            texts, keys = utf8(b, text), b.column(0)
-            for a, z in blocks(texts):
-                found = sent.value.overlaps(texts[a:z])
-                if found:
-                    cols = list(zip(*found))
-                    yield pa.RecordBatch.from_arrays([keys.take(pa.array([a + t for t in cols[0]])), pa.array([sent.value.ids[i] for i in cols[1]]), *(pa.array(c, pa.int32()) for c in cols[2:])], names=[key, item, "first_word", "n_words", "n_equal"])
+            bodies = utf8(b, "text")
+            for a, z in blocks(bodies):
+                w = lowered(bodies[a:z])
+                found = []
+                for m in masks:
+                    h = masked(w.h, m)
+                    at = np.flatnonzero(passes[(h >> np.uint64(64 - SCREEN)).astype(np.int64)])
+                    at = at[w.doc[at] == w.doc[at + len(m) - 1]]
+                    found.append(np.stack((w.doc[at].astype(np.uint64), h[at])))
+                both = np.concatenate(found, 1) if found else np.zeros((2, 0), np.uint64)
+                if both.shape[1]:
+                    order = np.lexsort(both)
+                    both = both[:, order]
+                    both = both[:, np.append(True, (both[:, 1:] != both[:, :-1]).any(0))]
+                    yield pa.RecordBatch.from_arrays([pa.array(both[1].view(np.int64)), b.column(0).take(pa.array(both[0].astype(np.int64) + a))], names=["h", "row"])
+
+    found = map_arrow(texts.select("row", "text"), run, "h long, row binary")
+    return found.join(seeds.select("h", "ref").distinct(), "h").select("row", "ref").distinct()
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str) -> DataFrame:
+    """row (hash of the text), item, first_word, n_words, n_equal of each distinct text and item that overlap."""
+    items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("item_text")).where("item_text is not null").distinct()
+    items = materialise(items.withColumn("ref", F.unhex(F.md5(F.concat(F.coalesce(F.col("item").cast("string"), F.lit("")), F.lit(" "), F.col("item_text"))))).select("ref", "item", "item_text"), "items")
+    texts = docs.select(_row(text).alias("row"), F.col(text).alias("text")).where("text is not null")
+    hits = materialise(_hits(texts, materialise(_seeds(items), "seeds")), "hits")
+    wanted = hits.select("row").distinct()
+    few = wanted.count() <= MOST_BROADCAST
+    bodies = texts.join(F.broadcast(wanted) if few else wanted, "row", "left_semi").groupBy("row").agg(F.first("text").alias("text"))
+    pairs = hits.join(bodies, "row").join(items, "ref").select("row", "item", "text", "item_text")
+    kind = pairs.schema["item"].dataType.simpleString()
 
-    return map_arrow(docs.select(key, text), run, f"`{key}` {kind}, `{item}` {item_kind}, first_word int, n_words int, n_equal int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bodies, tests = utf8(b, "text"), utf8(b, "item_text")
+            found = [(i, *x) for i, (t, s) in enumerate(zip(bodies, tests)) if (x := best_overlap(lowered([s]).h, lowered([t]).h))]
+            at = pa.array([f[0] for f in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), *(pa.array([f[k] for f in found], pa.int32()) for k in (1, 2, 3))], names=["row", "item", "first_word", "n_words", "n_equal"])
+
+    return materialise(map_arrow(pairs, run, f"row binary, item {kind}, first_word int, n_words int, n_equal int"), "overlaps")
+
+
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per document and test item that overlap: key, item, first_word, n_words, n_equal of the overlap with the most equal words, of equally
+    good ones the first.
+
+    Null and empty texts on either side overlap with nothing, nor do items without words; repeated documents give repeated
+    results, a repeated item counts once; empty tables give no rows; other columns are ignored.
+    """
+    found = _overlaps(docs, benchmark, text, item, item_text)
+    return docs.select(F.col(key).alias("key"), _row(text).alias("row")).join(found, "row").select(F.col("key").alias(key), F.col("item").alias(item), "first_word", "n_words", "n_equal")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of *docs* that overlap with no test item, with all their columns; null and empty texts stay."""
-    tests = benchmark.select(F.col(item).alias("__item"), F.col(item_text).alias("__text")).where("__text is not null")
-    total = tests.agg(F.sum(F.length("__text"))).first()[0] or 0
-    n = max(1, -(-int(total) * len(MASKS) // (2 * MOST_HASHES)))
-    at, kinds = docs.columns.index(text), docs.schema
-    for block in range(n):
-        rows = tests.where(F.pmod(F.xxhash64("__item", "__text"), F.lit(n)) == block).orderBy("__item", "__text").collect()
-        sent = docs.sparkSession.sparkContext.broadcast(TestIndex.build([r[0] for r in rows], [r[1].encode() for r in rows]))
-
-        def run(batches, sent=sent):
-            for b in batches:
-                texts = b.column(at).cast(pa.binary()).to_pylist()
-                bad = np.zeros(len(texts), bool)
-                for a, z in blocks(texts):
-                    for t, *_ in sent.value.overlaps(texts[a:z]):
-                        bad[a + t] = True
-                yield b.filter(pa.array(~bad))
-
-        docs = map_arrow(docs, run, kinds)
-    return docs
+    """The rows of *docs* that overlap with no test item, with all their columns, whatever their names; null and empty texts stay, and
+    so do repeated rows. An empty table on either side drops nothing."""
+    names, rows = docs.columns, numbered(docs)
+    bad = _overlaps(docs, benchmark, text, item, item_text).select("row").distinct()
+    body = f"c{names.index(text)}"
+    return rows.withColumn("own", _row(body)).join(bad, F.col("own") == F.col("row"), "left_anti").drop("own").toDF(*names)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dossier.llm.common import numbered
+
 #: White space that a normalised text holds as one space.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -40,13 +42,21 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", conte
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of *docs* that stay, with all its columns. Of repeated rows (same key, same text) one stays; rows without a
-    key are kept only where no row of their group has one. Other columns may bear any name but __keep_id.
+    key are kept only where no row of their group has one. Of repeated rows that differ in other columns, the one with the smallest hash of
+    all its columns stays. Columns may bear any names.
 
-    Dropped rows are those of another key than their group's; they are found by (key, text hash), so that a key that two texts
-    share does no harm.
+    Groups are found first, then rows are told apart by 48 bytes each: only groups of repeated rows are looked at twice.
     """
-    found = exact_groups(docs, key, text)
-    stay = found.where("kept").select(F.col(key).alias("__keep_id"), F.col("text_sha256").alias("__keep_sha")).distinct()
-    tagged = docs.withColumn("__row_sha", F.sha2(normalised(text), 256))
-    out = tagged.join(stay, F.col(key).eqNullSafe(F.col("__keep_id")) & (F.col("__row_sha") == F.col("__keep_sha")), "left_semi")
-    return out.dropDuplicates([key, "__row_sha"]).drop("__row_sha")
+    names, at, body = docs.columns, f"c{docs.columns.index(key)}", f"c{docs.columns.index(text)}"
+    rows = numbered(docs)
+    # Maps have no hash; whatever they hold, rows with them are told apart by their other columns.
+    told = [c for c, kind in rows.dtypes if "map<" not in kind]
+    tagged = rows.withColumn("sha", F.sha2(normalised(body), 256)).withColumn("row", F.xxhash64(*told))
+    found = exact_groups(rows.select(at, body), at, body)
+    stay = found.where("kept").select(F.col(at).alias("keep"), F.col("text_sha256").alias("keep_sha")).distinct()
+    ours = F.col(at).eqNullSafe(F.col("keep")) & (F.col("sha") == F.col("keep_sha"))
+    first = tagged.join(stay, ours, "left_semi").groupBy(F.col(at).alias("keep"), F.col("sha").alias("keep_sha")).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    out = tagged.join(first, ours & (F.col("row") == F.col("first")))
+    alike = [*rows.columns, "sha"]
+    once = out.where("n = 1").select(alike).unionByName(out.where("n > 1").select(alike).dropDuplicates([at, "sha"]))
+    return once.drop("sha").toDF(*names)

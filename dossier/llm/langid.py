@@ -151,14 +151,20 @@ def fold_of(key: str):
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = TRAIN_ROWS_PER_LANG) -> Model:
     """Fit on at most *per_lang* rows of each language: those with the smallest hash of (key, text) among rows that are not held
-    out and have a language and a text. The sample is found by ranges of that hash, so no task gathers a language."""
+    out and have a language and a text; of equal hashes those of the smaller text. A language's limit is found by ranking hashes; only
+    texts below it are moved. Without rows to learn from, the model says `und`."""
     rows = docs.where((fold_of(key) != 0) & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.col(text) != ""))
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h"))
-    # Two steps, the first of which keeps per_lang rows of each of 64 buckets: both are bounded.
-    part = Window.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy("h", "text")
-    local = rows.withColumn("r", F.row_number().over(part)).where(F.col("r") <= per_lang)
+    # Hashes alone are ranked, in ever fewer buckets, each of which keeps per_lang of them: no task gets more than 32 times per_lang.
+    local = rows.select("lang", "h")
+    for n in (1024, 32, 1):
+        best = Window.partitionBy("lang", F.pmod("h", F.lit(n))).orderBy("h")
+        local = local.withColumn("r", F.row_number().over(best)).where(F.col("r") <= per_lang)
+    limits = local.groupBy("lang").agg(F.max("h").alias("most")).withColumnRenamed("lang", "of")
+    near = rows.join(limits, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("most"))).select("lang", "text", "h")
+    # Equal hashes may exceed per_lang (repeated rows do); the last rank settles it.
     last = Window.partitionBy("lang").orderBy("h", "text")
-    picked = local.withColumn("r", F.row_number().over(last)).where(F.col("r") <= per_lang).select("lang", "text", "r")
+    picked = near.withColumn("r", F.row_number().over(last)).where(F.col("r") <= per_lang).select("lang", "text", "r")
 
     def sparse(batches):
         for b in batches:
@@ -178,7 +184,8 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, held_out, lang_pred, score, ambiguous of every whole text. `und` with score 0 where the text is null or has no letter.
-    A null key hashes as the empty string; repeated rows give repeated results; an empty table gives no rows."""
+    A null key hashes as the empty string; repeated rows give repeated results; an empty table gives no rows; other columns are
+    ignored. Of languages with equal losses the first by name is taken, and the row counts as ambiguous."""
     kind = docs.schema[key].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(model)  # features x bits: of fixed size
 

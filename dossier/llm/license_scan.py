@@ -9,6 +9,7 @@ every place of theirs is reported and their labels always stay.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -217,9 +218,15 @@ class Scanner:
 def suppressed(found: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str, int]]:
     """Drop detections inside an accepted one: by priority, then length, then place, then label."""
     kept: list[tuple[int, int, str, int]] = []
+    starts: list[int] = []  # of accepted detections that no other holds, in order; their ends are in order too
+    ends: list[int] = []
     for d in sorted(set(found), key=lambda d: (-d[3], d[0] - d[1], d[0], d[2])):
-        if not any(a <= d[0] and d[1] <= b for a, b, _, _ in kept):
-            kept.append(d)
+        at = bisect_right(starts, d[0])
+        if at and ends[at - 1] >= d[1]:
+            continue
+        kept.append(d)
+        low, high = bisect_left(starts, d[0]), bisect_right(ends, d[1])
+        starts[low : max(low, high)], ends[low : max(low, high)] = [d[0]], [d[1]]
     return sorted(kept)
 
 

@@ -1,7 +1,8 @@
 """Cross-entropy difference of two matched n-gram models.
 
-Target and background models are interpolated bigram models with exact counts of every word and pair of words of the corpus,
-smoothed alike; they differ in nothing but their text. A document's score is its loss a token under the target model less that
+Target and background models are interpolated bigram models with exact counts of every word and pair of words of the corpus. They share
+one vocabulary and are matched: the larger model's counts are scaled to the smaller's number of words, so that smoothing, which is
+the same for both, weighs the same, and scores differ in nothing but the text. The background is the whole corpus, the target included. A document's score is its loss a token under the target model less that
 under the background model: the lower, the more it resembles the target.
 
 Words and pairs (grams) are 64-bit keys. Documents are dealt into groups; each group sends its distinct grams with its own counts to
@@ -82,6 +83,11 @@ def vocabulary(docs: DataFrame, text: str = "text", size: int | None = None) ->
     return Vocabulary(np.sort(top.to_numpy().view(np.uint64)))
 
 
+def matched_size(totals: tuple[int, int]) -> int:
+    """The number of words that both models count as: the smaller one's, so that smoothing weighs the same in both."""
+    return min(totals)
+
+
 def total_bytes(docs: DataFrame, text: str) -> int:
     return int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
 
@@ -128,10 +134,12 @@ class Grams:
     def losses(self, n_texts: int, seen: tuple[np.ndarray, np.ndarray], known: int, totals: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Words of each text and its mean loss a word under both models (0 without words), with the models' counts of *keys*."""
         n, out = np.bincount(self.doc, minlength=n_texts), np.zeros((2, n_texts))
+        size = matched_size(totals)
         for k in range(2):
-            share = (seen[k][self.word] + 1) / (totals[k] + known + 1)
-            before = seen[k][self.before]
-            p = (seen[k][self.pair] + BACKOFF * share) / (before + BACKOFF)
+            scale = size / max(totals[k], 1)
+            share = (scale * seen[k][self.word] + 1) / (scale * totals[k] + known + 1)
+            before = scale * seen[k][self.before]
+            p = (scale * seen[k][self.pair] + BACKOFF * share) / (before + BACKOFF)
             out[k] = np.bincount(self.doc, -np.log(p), minlength=n_texts) / np.maximum(n, 1)
         return n, out
 

@@ -81,18 +81,19 @@ def place(df: DataFrame, key: Column, tree: Tree, out: str) -> DataFrame:
     return df.withColumn(out, shard).drop(name("key"), name("region"), name("rack"))
 
 
-def number_slots(df: DataFrame, shard: str, key: str, out: str = "slot", buckets: int = SLOT_BUCKETS) -> DataFrame:
+def number_slots(df: DataFrame, shard: str, key: str, out: str = "slot", buckets: int = SLOT_BUCKETS, ties: tuple[str, ...] = ()) -> DataFrame:
     """Number the rows of each shard from 0 without gaps, in order of (hash bucket of key, key).
 
     No task holds a shard: rows are numbered inside one of *buckets* buckets a shard, and start after the
     rows of the buckets before. The table of bucket sizes has at most shards x buckets rows, so it is broadcast.
-    Rows with equal keys get different slots in any order.
+    Rows with equal keys are told apart by the columns *ties*, which also spread them over buckets; rows that are equal in those too get
+    different slots in any order, and are alike.
     """
-    df = df.withColumn("__bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
+    df = df.withColumn("__bucket", F.pmod(F.xxhash64(F.col(key), *ties), F.lit(buckets)).cast("int"))
     sizes = df.groupBy(F.col(shard).alias("__s"), F.col("__bucket").alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("__s", "__b", F.coalesce(before, F.lit(0)).alias("__from"))
-    rank = F.row_number().over(Window.partitionBy(shard, "__bucket").orderBy(key))
+    rank = F.row_number().over(Window.partitionBy(shard, "__bucket").orderBy(key, *ties))
     placed = df.withColumn("__rank", rank).join(F.broadcast(starts), (F.col(shard) == F.col("__s")) & (F.col("__bucket") == F.col("__b")), "left")
     return placed.withColumn(out, (F.col("__from") + F.col("__rank") - 1).cast("long")).drop("__bucket", "__s", "__b", "__from", "__rank")
 
@@ -109,4 +110,4 @@ def shard_documents(docs: DataFrame, shards: int = 16, key: str = "doc_id", text
     rows = docs.select(F.col(key), (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"), F.lit("key").alias("law"))
     rows = place(rows, F.col(key), layout(shards), "shard")
     rows = place(rows, F.col(key), layout(shards + 1), "grown_shard")
-    return number_slots(rows, "shard", key).select(key, "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    return number_slots(rows, "shard", key, ties=("size", "text_crc32")).select(key, "size", "text_crc32", "law", "shard", "slot", "grown_shard")

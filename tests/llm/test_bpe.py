@@ -55,5 +55,23 @@ def test_encode_and_decode(spark, docs_of, corpus, encoding):
     assert digests == want
 
 
+def test_long_runs_neither_crash_nor_differ(encoding):
+    for t in (" " * 1_000_000, "\n" * 1_000_000, "a " + " " * 1_000_000 + "b", "x" * 200_000, " \n" * 300_000 + "end"):
+        ids = bpe.encode_text(t, PATH, public_tokenizers.PATTERN)
+        assert b"".join(encoding.decode_single_token_bytes(i) for i in ids) == t.encode()
+    for run in (" ", "\n", " \n\u3000"):  # as the encoder itself, where it still copes
+        t = "What a" + run * (40_000 // len(run)) + "!gap" + run * 100
+        split = bpe._tokenizer(PATH, public_tokenizers.PATTERN)[2]
+        assert bpe.encode_piece(t, encoding, split) == encoding.encode_ordinary(t) == bpe.encode_text(t, PATH, public_tokenizers.PATTERN)
+
+
+def test_columns_with_clashing_names(spark, encoding):
+    docs = spark.createDataFrame([(1, "some text", "x", 3, "y")], "doc_id long, text string, ids string, __bpe_key int, c0 string")
+    row = bpe.encode(docs, PATH, public_tokenizers.PATTERN)
+    assert row.columns == ["doc_id", "text", "__bpe_key", "c0", "ids"]
+    assert tuple(row.first()) == (1, "some text", 3, "y", encoding.encode_ordinary("some text"))
+    assert bytes(bpe.decode(row.withColumn("decoded", row["c0"]), PATH, public_tokenizers.PATTERN).first()["decoded"]) == b"some text"
+
+
 def test_empty_table(docs_of):
     assert bpe.encode(docs_of([]), PATH, public_tokenizers.PATTERN).count() == 0

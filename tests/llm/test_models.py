@@ -128,14 +128,14 @@ def lm_brute(rows, good, vocab):
             uni.update(coded[i][0])
             pair.update(coded[i][1])
         models.append((uni, pair, sum(bool(coded[i][0]) for i in chosen), sum(uni.values())))
-    out = {}
+    out, size = {}, min(m[3] for m in models)
     for i, (ids, cells) in coded.items():
         losses = []
         for uni, pair, starts, total in models:
-            loss = 0.0
+            loss, r = 0.0, size / total
             for k, (w, c) in enumerate(zip(ids, cells)):
                 seen = uni[ids[k - 1]] if k else starts
-                loss -= np.log((min(pair[c], seen) + lm_score.BACKOFF * (uni[w] + 1) / (total + known + 1)) / (seen + lm_score.BACKOFF))
+                loss -= np.log((r * min(pair[c], seen) + lm_score.BACKOFF * (r * uni[w] + 1) / (size + known + 1)) / (r * seen + lm_score.BACKOFF))
             losses.append(loss / max(1, len(ids)))
         out[i] = losses[0] - losses[1]
     return out
@@ -179,16 +179,18 @@ def test_lm_counts_are_exact_beyond_any_fixed_size(spark):
     got = {r["doc_id"]: (r["loss_target"], r["loss_background"]) for r in lm_score.score(docs, lm_score.fit(docs, labels)).collect()}
     known = len({w for t in texts.values() for w in t.split()})
     assert known > 1 << 15 and len(got) == len(texts)
-    for k, chosen in enumerate(([i for i in range(200) if i % 3 == 0], list(texts))):
+    target = [i for i in range(200) if i % 3 == 0]
+    size = sum(len(texts[i].split()) for i in target)
+    for k, chosen in enumerate((target, list(texts))):
         words, pairs = Counter(), Counter()
         for i in chosen:
             ws = texts[i].split()
             words.update([None, *ws])
             pairs.update(zip([None, *ws], ws))
-        total = sum(words.values()) - words[None]
+        r = size / (sum(words.values()) - words[None])
         for i, t in texts.items():
             ws = t.split()
-            want = -sum(np.log((pairs[v, w] + lm_score.BACKOFF * (words[w] + 1) / (total + known + 1)) / (words[v] + lm_score.BACKOFF)) for v, w in zip([None, *ws], ws)) / len(ws)
+            want = -sum(np.log((r * pairs[v, w] + lm_score.BACKOFF * (r * words[w] + 1) / (size + known + 1)) / (r * words[v] + lm_score.BACKOFF)) for v, w in zip([None, *ws], ws)) / len(ws)
             assert abs(got[i][k] - want) < 1e-9
 
 

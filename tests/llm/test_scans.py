@@ -104,15 +104,43 @@ def test_overlaps_match_brute_force(docs_of, spark, planted):
     assert kept.columns == docs_of([]).columns and sorted(r["doc_id"] for r in kept.collect()) == [4, 5, 7, 8, 9]
 
 
-def test_blocks_of_items_change_nothing(docs_of, spark, planted, monkeypatch):
+def test_texts_found_without_a_broadcast(docs_of, spark, planted, monkeypatch):
     docs, tests = planted
     bench = spark.createDataFrame(tests, "item_id long, text string")
     whole = sorted(map(tuple, decontaminate.find_overlaps(docs_of(docs), bench).collect()), key=str)
-    monkeypatch.setattr(decontaminate, "MOST_HASHES", 64)
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(decontaminate, "CELLS", 30)
     assert sorted(map(tuple, decontaminate.find_overlaps(docs_of(docs), bench).collect()), key=str) == whole
     assert sorted(r["doc_id"] for r in decontaminate.clean(docs_of(docs), bench).collect()) == [4, 5, 7, 8, 9]
 
 
+def test_equal_words_take_no_quadratic_time():
+    import time
+
+    start = time.time()
+    item, text = (decontaminate.lowered([b"same " * n]).h for n in (400, 20_000))
+    assert decontaminate.best_overlap(item, text) == (0, 400, 400)
+    assert time.time() - start < 4
+    text = decontaminate.lowered([b"mit license " * 50_000])
+    line = b" " + b"mit license " * 50_000
+    start = time.time()
+    found = license_scan._scanner().detections(line)
+    assert len(found) >= 50_000 and time.time() - start < 8
+
+
+def test_suppression_matches_brute_force():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(200):
+        found = [(a, a + rng.randint(1, 12), rng.choice("xy"), rng.choice((20, 50))) for a in (rng.randrange(30) for _ in range(rng.randrange(40)))]
+        kept = []
+        for d in sorted(set(found), key=lambda d: (-d[3], d[0] - d[1], d[0], d[2])):
+            if not any(a <= d[0] and d[1] <= b for a, b, _, _ in kept):
+                kept.append(d)
+        assert license_scan.suppressed(found) == sorted(kept)
+
+
 def test_every_two_substitutions_are_survived():
     """Whatever two of thirteen words change, some mask still hits."""
     n = decontaminate.STRETCH
@@ -125,17 +153,19 @@ def test_every_two_substitutions_are_survived():
 def test_every_permitted_substitution_is_found(n):
     """Items of every length, with every set of words that may differ, and none with one word more."""
     item = [f"item{k}" for k in range(n)]
-    index = decontaminate.TestIndex.build([7], [" ".join(item).encode()])
+    hashes = lambda t: decontaminate.lowered([t]).h
+    own = hashes(" ".join(item).encode())
+    assert decontaminate.best_overlap(own, hashes(b"nothing here")) is None
     size = min(n, decontaminate.STRETCH)
     most = max(d for d in range(size) if size - d >= 0.8 * size - 1e-9)
     said = lambda gone: " ".join(["before", "it", *(f"other{k}" if k in gone else w for k, w in enumerate(item)), "after"]).encode()
     for gone in itertools.combinations(range(size), most):
-        found = index.overlaps([b"nothing here", said(gone)])
-        assert [f[:2] for f in found] == [(1, 0)], gone
+        found = decontaminate.best_overlap(own, hashes(said(gone)))
+        assert found, gone
         if n <= size:
-            assert found[0][2:] == (2, n, n - most)
+            assert found == (2, n, n - most)
     if n <= size:
-        assert not any(index.overlaps([said(gone)]) for gone in itertools.combinations(range(n), most + 1))
+        assert not any(decontaminate.best_overlap(own, hashes(said(gone))) for gone in itertools.combinations(range(n), most + 1))
 
 
 def test_short_items_are_found_in_tables(docs_of, spark):
