@@ -14,8 +14,10 @@ from dossier.session import build_session
 from dossier.sources.scan import scan
 
 
-def explain(result: RunResult, field: str | None = None, to=sys.stderr) -> None:
-    """What was read, and of each candidate every value with its evidence, dissent and conflicts."""
+def explain(result: RunResult, field: str | None = None, to=None) -> None:
+    """What was read, and of each candidate every value with its evidence, dissent and conflicts; to stderr, as it is at the call, unless
+    told otherwise."""
+    to = to or sys.stderr
     print("\n=== INGEST LOG ===", file=to)
     for r in result.ingest_log().toLocalIterator():
         print(f"  {r['event']}: {r['origin']} [{r['source_type']}] {r['detail']}", file=to)

@@ -89,10 +89,50 @@ def entry(company, title, start=None, end=None, current=False, c=0.5, source="s"
     return {"company": company, "title": title, "start": start, "end": end, "summary": summary, "is_current": current, "c": c, "source_id": source, "label": f"t:{source}"}
 
 
-def test_entries_merge_by_first_fit():
-    got = entries.merge([
+def merged(spark, *groups):
+    kind = "array<struct<company:string,title:string,start:string,end:string,summary:string,is_current:boolean,c:double,source_id:string,label:string>>"
+    df = spark.createDataFrame([(i, g) for i, g in enumerate(groups)], f"group_id int, entries {kind}")
+    return {r["group_id"]: [e.asDict() for e in r["experience"]] for r in entries.merge_entries(df).collect()}
+
+
+def test_entries_merge_by_first_fit(spark):
+    jobs = [
         entry("Acme", "Engineer", "2020-01", None, True, 0.5, "s1"), entry("ACME", "Staff Engineer", "2021-01", None, True, 0.8, "s2", "did things"),
         entry("Acme", "Janitor", "2001", "2002", False, 0.4, "s3"), entry(None, "Engineer", "2020", "2021", False, 0.3, "s4"), entry(None, "Engineer", "2020", "2021", False, 0.3, "s5"),
-    ])
+    ]
+    found = merged(spark, jobs, [], None, [entry("A", "x", "2000", "2001", False, 0.4, "s1"), entry("A", "x", "2001-05", "2003", False, 0.9, "s1", "long")])
+    got = found[0]
     assert [(e["company"], e["title"], e["start"], e["end"]) for e in got] == [("ACME", "Staff Engineer", "2020-01", None), (None, "Engineer", "2020", "2021"), (None, "Engineer", "2020", "2021"), ("Acme", "Janitor", "2001", "2002")]
-    assert got[0]["confidence"] == 0.9 and got[0]["sources"] == ["t:s1", "t:s2"]
+    assert got[0]["confidence"] == 0.9 and got[0]["sources"] == ["t:s1", "t:s2"] and got[0]["summary"] == "did things"
+    assert [e["sources"] for e in got[1:3]] == [["t:s4"], ["t:s5"]]
+    assert found[1] == found[2] == []
+    assert found[3] == [{"company": "A", "title": "x", "start": "2000", "end": "2003", "summary": "long", "confidence": 0.9, "sources": ["t:s1"]}]
+
+
+def test_homes_match_first_fit_by_hand():
+    """Against a plain first fit: each entry joins the first job of its company whose first entry agrees with it."""
+    from difflib import SequenceMatcher
+
+    rng = random.Random(8)
+    month = lambda d, unknown, default: unknown if not d else 12 * int(d[:4]) + (int(d[5:]) if len(d) > 4 else default) - 1
+    for _ in range(60):
+        rows = []
+        for _ in range(rng.randint(0, 14)):
+            start = rng.choice([None, f"{rng.randint(2000, 2006)}", f"{rng.randint(2000, 2006)}-0{rng.randint(1, 9)}"])
+            end = rng.choice([None, f"{rng.randint(2002, 2009)}"])
+            rows.append((rng.choice(["Acme", "ACME", "Zeta", None]), rng.choice(["Dev", "Developer", "Cook", "Head Cook", None]), start, end, rng.random() < 0.2))
+        spans = [(month(r[2], -(10**9), 1), 10**9 if r[4] else month(r[3], 10**9, 12)) for r in rows]
+        leads: dict = {}
+        want = []
+        for i, r in enumerate(rows):
+            name, home = (r[0] or "").casefold(), i
+            for j in leads.setdefault(name, []) if name else []:
+                a, b = ((x[1] or "").casefold() for x in (rows[j], r))
+                meets = max(spans[i][0], spans[j][0]) <= min(spans[i][1], spans[j][1])
+                if meets and (a in b or b in a or (r[4] and rows[j][4]) or SequenceMatcher(None, a, b).ratio() >= 0.6):
+                    home = j
+                    break
+            if home == i:
+                leads[name] = [*leads.get(name, []), i]
+            want.append(home)
+        assert entries.homes(*([r[k] for r in rows] for k in range(5)))[1] == want
