@@ -190,7 +190,7 @@ def test_repeats_of_odd_tables(docs_of):
 
 def test_segments_change_nothing(corpus, monkeypatch):
     texts = [(t or "").encode() for _, t in corpus]
-    w = substring.Words(texts)
+    w = substring.Words(substring.spaced(texts))
     whole = substring.entries(w)
     monkeypatch.setattr(substring, "SEGMENT", 500)
     cut = substring.entries(w)
@@ -201,14 +201,23 @@ def test_segments_change_nothing(corpus, monkeypatch):
     assert windows(whole) == windows(cut)
 
 
-def test_index_grows_by_batches_and_compacts(spark, docs_of, corpus):
+def test_index_grows_by_batches_and_compacts(spark, docs_of, corpus, monkeypatch):
+    """After each batch the index tells what brute force tells of all batches so far."""
     from pyspark.sql import functions as F
 
-    rows = docs_of(corpus).select(F.col("doc_id").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    monkeypatch.setattr(substring, "HOT", 3)  # so that frequent anchors are dealt out
+    common = corpus[70][1][-300:]
+    rows = [*corpus, *((200 + i, f"{i} {common} {i * i} tail") for i in range(12))]
+    df = docs_of(rows).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", substring.row_hash("doc_id", "text")).cache()
+    names = {bytes(r["row"]): r["doc_id"] for r in df.collect()}
     index = substring.FingerprintIndex(spark, most_runs=2)
     for b in range(4):
-        index.append(rows.where(f"row % 4 = {b}"))
-    assert len(index.runs) <= 2
-    once = substring.FingerprintIndex(spark)
-    once.append(rows)
-    assert sorted(map(tuple, index.recurring().collect())) == sorted(map(tuple, once.recurring().collect()))
+        index.append(df.where(f"doc_id % 4 = {b}").select("row", "text"))
+        want = {i: n for (i, _, n, _), _ in removed([r for r in rows if r[0] % 4 <= b], 35).items() if n}
+        got = {}
+        for r in index.repeats().collect():
+            got.setdefault(names[bytes(r["row"])], set()).update(k for o in range(64) if r["mask"] >> o & 1 for k in range(r["first"] + o, r["first"] + o + 35))
+        assert {i: len(x) for i, x in got.items()} == want, b
+    assert len(index.runs) <= 2 and index.compactions == 1
+    index.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("fingerprints_")]
