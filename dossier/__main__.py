@@ -10,7 +10,7 @@ from pathlib import Path
 from dossier.plans.config import ConfigError, load_config
 from dossier.plans.pipeline import Pipeline, RunResult, transform
 from dossier.plans.project import ValidationError
-from dossier.session import build_session
+from dossier.session import build_session, clear_scratch
 from dossier.sources.scan import scan
 
 
@@ -56,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
         result = transform(build_session(), args.inputs, args.config, args.locale, args.default_country)
         explain(result, args.field)
         print(result.summary(), file=sys.stderr)
+        clear_scratch(result.profiles.sparkSession)
         return 0
     try:
         config = load_config(args.config)
@@ -81,6 +82,7 @@ def main(argv: list[str] | None = None) -> int:
     print(result.summary(), file=sys.stderr)
     if args.explain:
         explain(result)
+    clear_scratch(spark)
     return 0
 
 

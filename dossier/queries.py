@@ -15,8 +15,9 @@ from dossier.operators.graph import connected_components
 from dossier.operators.resolve import blocked_pairs, sequence_ratio, star_edges, uuid5
 from dossier.operators.vote import contribution, evidence_groups, merge_spans, noisy_or, overall_confidence, ranked, recency, vote, year_of
 from dossier.plans.pipeline import Pipeline
-from dossier.sources.adapters import as_list, first_of, with_gazetteer
-from dossier.sources.scan import content_address, detect_type
+from dossier.plans.project import internal_violations, missing, output_violations
+from dossier.sources.adapters import as_list, first_of, languages_by_bytes, with_gazetteer
+from dossier.sources.scan import content_address, detect_type, register
 from dossier.vocab import COUNTRY_ALIASES, IMPORTANCE, ISO_COUNTRIES, Vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,10 +80,13 @@ def content_addresses(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", content_address(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), F.lit("documents")).alias("source_id"))
 
 
-@query("""SELECT doc_id, source_id FROM (SELECT doc_id, substr(sha256('d'::BLOB || '\\x00'::BLOB || encode(text)), 1, 16) AS source_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE k = 1""")
+@query("""
+SELECT doc_id, 'sha256:' || substr(sha256('resume'::BLOB || '\\x00'::BLOB || encode(coalesce(text, ''))), 1, 16) AS source_id, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) > 1 AS duplicate, coalesce(text, '') <> '' AS ok FROM documents
+""")
 def source_dedupe(spark, sf_dir):
-    ids = table(spark, sf_dir, "documents").select("doc_id", F.substring(content_address(F.encode("text", "UTF-8"), F.lit("d")), 8, 16).alias("source_id"))
-    return ids.groupBy("source_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "source_id")
+    d = table(spark, sf_dir, "documents")
+    inputs = d.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("origin"), F.encode("text", "UTF-8").alias("content"), F.lit("resume").alias("source_type"), F.lit(None).cast("string").alias("ts"), F.col("doc_id").cast("long").alias("ordinal"))
+    return register(inputs).select(F.col("ordinal").alias("doc_id"), "source_id", "duplicate", "ok")
 
 
 ENDINGS = (".csv", ".json", ".txt", ".pdf", "_resume", "_cv_notes", "_github_x", "")
@@ -203,10 +207,17 @@ def json_alias_first(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(found, "$", "string").alias("value"), F.size(as_list(found)).alias("n"))
 
 
-@query("""SELECT source, lang, CAST(sum(n_chars) AS BIGINT) AS total, CAST(row_number() OVER (PARTITION BY source ORDER BY sum(n_chars) DESC, lang) AS INT) AS k FROM documents GROUP BY source, lang""")
+@query("""
+WITH t AS (SELECT source, lang, sum(n_chars) AS total FROM documents WHERE lang IS NOT NULL GROUP BY source, lang)
+SELECT source, lang, CAST(row_number() OVER (PARTITION BY source ORDER BY total DESC, lang) - 1 AS INT) AS k FROM t
+""")
 def lang_aggregate(spark, sf_dir):
-    sums = table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.sum("n_chars").alias("total"))
-    return sums.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("total"), "lang")))
+    """Documents as repositories of their source: languages by characters, as a code host's export counts them by bytes."""
+    d = table(spark, sf_dir, "documents").where("lang is not null")
+    per_source = d.groupBy("source", "lang").agg(F.sum("n_chars").alias("n"))
+    repos = per_source.groupBy("source").agg(F.to_json(F.collect_list(F.struct(F.create_map("lang", "n").alias("languages")))).alias("repos"))
+    ranked_ = languages_by_bytes(F.try_variant_get(F.parse_json("repos"), "$", "array<variant>"))
+    return repos.select("source", F.posexplode(ranked_).alias("k", "lang"))
 
 
 @query(f"""
@@ -304,12 +315,6 @@ def ranked_parts(spark, sf_dir):
     return part_votes(spark, sf_dir, False).select("l_partkey", "ranked", "total")
 
 
-@query("""SELECT doc_id, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0B-\\x1F\\x7F]', '', 'g'), '\\s+', ' ', 'g')) AS clean FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')""")
-def clean_ascii_texts(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7F]"))
-    return d.select("doc_id", clean_text(F.col("text")).alias("clean"))
-
-
 @query("""
 WITH n AS (SELECT doc_id, regexp_replace(nfc_normalize(coalesce(text, '')), '[\\x00-\\x08\\x0B-\\x1F\\x7F-\\x{9F}\\p{Cf}]', '', 'g') AS t FROM documents)
 SELECT doc_id, trim(regexp_replace(t, '[\\s\\p{Z}]+', ' ', 'g')) AS clean FROM n
@@ -385,3 +390,74 @@ SELECT '{"person":{"name":"' || c_name || '","mail":"c' || c_custkey || '@exampl
 """)
 def project_config(spark, sf_dir):
     return Pipeline(spark, CONFIG).run(customer_sources(spark, sf_dir)).json().select("json")
+
+
+GATE_FIELDS = [{"path": "full_name", "required": True}, {"path": "headline", "required": True}, {"path": "city", "from": "location.city"}, {"path": "mails", "from": "emails", "type": "string[]", "required": True}]
+
+
+@query("""SELECT gate, path, count(*) AS n FROM customer, (VALUES ('missing', 'city'), ('missing', 'headline'), ('output', 'headline')) AS v(gate, path) GROUP BY gate, path""")
+def validate_gate(spark, sf_dir):
+    """What the gates hold back where a view demands what the sources don't tell: a headline and, under on_missing = error, a city."""
+    config = {"fields": GATE_FIELDS, "on_missing": "error"}
+    result = Pipeline(spark, config).run(customer_sources(spark, sf_dir), check=False)
+    told = lambda gate, df, path: df.select(F.lit(gate).alias("gate"), path.alias("path"))
+    found = told("missing", missing(result.profiles, config), F.col("path")).unionByName(told("output", output_violations(result.profiles, config, result.ctx), F.regexp_extract("problem", r"'(\w+)'", 1)))
+    found = found.unionByName(told("internal", internal_violations(result.profiles), F.lit("")))
+    return found.groupBy("gate", "path").agg(F.count(F.lit(1)).alias("n"))
+
+
+def person_sources(spark, sf_dir) -> DataFrame:
+    """Of every customer a resume, an entry of their nation's applicant export, and an export of a code host."""
+    c = table(spark, sf_dir, "customer")
+    key, low = F.col("c_custkey").cast("string"), F.lower("c_mktsegment")
+    mail = F.concat(F.lit("p"), key, F.lit("@people.example"))
+    name = F.concat(F.lit("Buyer "), F.initcap(low))
+    resume = F.concat(name, F.lit("\nBerlin, Germany\n"), mail, F.lit(" | linkedin.com/in/p"), key, F.lit("\n\nEXPERIENCE\nBuyer, "), "c_mktsegment", F.lit(" - Jan 2010 - Dec 2015\nBought parts.\nAnd sold.\n\nEDUCATION\nBSc, Trade, College "), F.col("c_nationkey").cast("string"), F.lit(" - 2009\n\nSKILLS\nPython, Kafka\n"))
+    phone = F.concat(F.lit("030 "), F.lpad(key, 7, "0"))
+    applicant = F.struct(
+        name.alias("display_name"), F.struct(F.array(mail).alias("emails"), phone.alias("telephone")).alias("contact"), F.struct(F.lit("Berlin").alias("town"), F.lit("DE").alias("country_code")).alias("geo"),
+        F.array(F.struct(F.col("c_mktsegment").alias("employer"), F.lit("Senior buyer").alias("role"), F.lit("2012-03").alias("from"), F.lit("2016").alias("to"))).alias("jobs"),
+        F.array(F.struct(F.concat(F.lit("College "), F.col("c_nationkey").cast("string")).alias("college"), F.lit("BSc").alias("level"), F.lit(2009).alias("completed"))).alias("education"), F.lit(20).alias("yoe"),
+    )
+    host = F.to_json(F.struct(F.struct(F.concat(F.lit("p"), key).alias("login"), mail.alias("email"), F.lit("Likes ").alias("bio")).alias("user"), F.array(F.struct(F.lit("Rust").alias("language"))).alias("repos")))
+    row = lambda origin, body, ordinal: (origin.alias("origin"), F.encode(body, "UTF-8").alias("content"), F.lit(None).cast("string").alias("source_type"), F.lit(None).cast("string").alias("ts"), ordinal.cast("long").alias("ordinal"))
+    number = F.col("c_custkey")
+    forms = c.groupBy("c_nationkey").agg(F.to_json(F.struct(F.collect_list(applicant).alias("applicants"))).alias("body"))
+    return (
+        c.select(*row(F.concat(F.lit("r"), key, F.lit(".txt")), resume, number * 2)).unionByName(c.select(*row(F.concat(F.lit("h"), key, F.lit(".json")), host, number * 2 + 1)))
+        .unionByName(forms.select(*row(F.concat(F.lit("forms"), F.col("c_nationkey").cast("string"), F.lit(".json")), F.col("body"), -1 - F.col("c_nationkey"))))
+    )
+
+
+@query("""
+SELECT 'p' || c_custkey || '@people.example' AS email, '+4930' || lpad(c_custkey::VARCHAR, 7, '0') AS phone, 'Buyer ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS full_name, 'Berlin' AS city, 'DE' AS country, 'https://linkedin.com/in/p' || c_custkey AS linkedin,
+'https://github.com/p' || c_custkey AS github, 'Kafka:0.8,Python:0.8,Rust:0.7' AS skills, c_mktsegment || '|2010-01|2016|Bought parts. And sold.' AS job, 1 AS n_jobs, 'College ' || c_nationkey || '|BSc|Trade|2009' AS school, 1 AS n_schools, 20.0 AS years, 'years_experience:7' AS clash, 3 AS n_sources FROM customer
+""")
+def person_profiles(spark, sf_dir):
+    """Resumes, applicant records and exports of a code host reconciled: one profile a customer. A phone number without a country gets that of
+    the candidate; two tellings of one job are merged; stated years clash with those that spans cover."""
+    p = Pipeline(spark).run(person_sources(spark, sf_dir), check=False).profiles
+    job, school, clash = F.col("experience")[0], F.col("education")[0], F.col("conflicts")[0]
+    shown = lambda *parts: F.concat_ws("|", *(x.cast("string") for x in parts))
+    return p.select(
+        F.col("emails")[0].alias("email"), F.col("phones")[0].alias("phone"), "full_name", F.col("location.city").alias("city"), F.col("location.country").alias("country"), F.col("links.linkedin").alias("linkedin"), F.col("links.github").alias("github"),
+        F.array_join(F.transform("skills", lambda s: F.concat(s["name"], F.lit(":"), s["confidence"].cast("string"))), ",").alias("skills"), shown(job["company"], job["start"], job["end"], job["summary"]).alias("job"), F.size("experience").alias("n_jobs"),
+        shown(school["institution"], school["degree"], school["field"], school["end_year"]).alias("school"), F.size("education").alias("n_schools"), F.col("years_experience").alias("years"), F.concat(clash["field"], F.lit(":"), clash["alternatives"][0]["value"]).alias("clash"),
+        F.size(F.array_distinct(F.transform("provenance", lambda x: x["source"]))).alias("n_sources"),
+    )
+
+
+@query("""SELECT 'Co ' || c_custkey AS company, CAST(2 AS BIGINT) AS records, c_name AS full_name FROM customer""")
+def weak_matches(spark, sf_dir):
+    """Notes without any address join the record of the same name, company and city; names are numbered, so they are all alike, and what keeps
+    them apart is the company."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    firm, town = F.concat(F.lit("Co "), key), F.concat(F.lit("Town "), F.col("c_nationkey").cast("string"))
+    rows = c.groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(",", "c_name", F.concat(F.lit("w"), key, F.lit("@weak.example")), firm, town))), "\n").alias("body"))
+    row = lambda origin, body, kind, ordinal: (origin.alias("origin"), F.encode(body, "UTF-8").alias("content"), F.lit(kind).alias("source_type"), F.lit(None).cast("string").alias("ts"), ordinal.cast("long").alias("ordinal"))
+    files = rows.select(*row(F.concat(F.lit("w"), F.col("c_nationkey").cast("string"), F.lit(".csv")), F.concat(F.lit("name,email,company,city\n"), "body"), "recruiter_csv", -1 - F.col("c_nationkey")))
+    notes = c.select(*row(F.concat(key, F.lit(".txt")), F.concat(F.lit("Candidate: "), "c_name", F.lit("\nEmployer: "), firm, F.lit("\nBased in: "), town), "recruiter_notes", F.col("c_custkey")))
+    result = Pipeline(spark).run(files.unionByName(notes), check=False)
+    records = result.membership.groupBy("group_id").agg(F.count(F.lit(1)).alias("records"))
+    return result.profiles.join(records, "group_id").select(F.col("experience")[0]["company"].alias("company"), "records", "full_name")

@@ -46,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares (spark.checkpoint.dir); a local one only where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = getattr(spark.sparkContext, "_dossier_scratch", None)
         if not folder:
             folder = "file://" + tempfile.mkdtemp(prefix="dossier-checkpoint-")
@@ -57,7 +59,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/dossier-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/dossier-{name}-{uuid.uuid4().hex}"
+    spark.sparkContext.__dict__.setdefault("_dossier_written", []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this session has written to the shared folder so far, and return how many paths that were. Results that are still to be
+    computed read those paths: call this once they are written elsewhere."""
+    written = spark.sparkContext.__dict__.pop("_dossier_written", [])
+    for path in written:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+    return len(written)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import copy
 import json
 import math
+import os
 import uuid
 from collections import Counter
 from dataclasses import replace
@@ -14,6 +15,7 @@ from dossier.__main__ import main
 from dossier.plans.config import DEFAULT, ConfigError, Source, faults, load_config, validate_config
 from dossier.plans.pipeline import Pipeline
 from dossier.plans.project import ProjectionError, ValidationError, validate_output
+from dossier.session import checkpoint_dir, clear_scratch, scratch_path
 from dossier.sources.scan import InputSpec, scan
 
 ALL = [InputSpec("people.csv", CSV), InputSpec("people.json", ATS), InputSpec("hub.json", GITHUB), InputSpec("ines.txt", RESUME), InputSpec("fair.txt", NOTES), InputSpec("cut.json", BROKEN), InputSpec("void.txt", b"")]
@@ -78,7 +80,7 @@ def many(spark):
     memo = b"Candidate: Tove Lindqvist\nBased in: Bergen\nEmployer: Harbour Lab\nKnows her knots.\n"
     left, right = (f"Candidate: Omar Reyes\nBased in: Quito\n{extra}\n".encode() for extra in ("tall", "not so tall"))
     crew = table(("name", "email", "company", "city"), *((f"Crew {chr(65 + i)}", f"crew{i}@ship.example", "Blue Line", "Bergen") for i in range(25)))
-    specs = [InputSpec("two.csv", TWO_PEOPLE), InputSpec("lab.csv", lab), InputSpec("memo.txt", memo), InputSpec("l.txt", left), InputSpec("r.txt", right), InputSpec("crew.csv", crew), InputSpec("two_again.csv", TWO_PEOPLE), InputSpec("letter", b"x", "telegram")]
+    specs = [InputSpec("two.csv", TWO_PEOPLE), InputSpec("lab.csv", lab), InputSpec("memo.txt", memo), InputSpec("l.txt", left), InputSpec("r.txt", right), InputSpec("crew.csv", crew), InputSpec("two_again.csv", TWO_PEOPLE), InputSpec("letter", b"x", "telegram"), InputSpec("wide.csv", b"name,email\n" + b"x" * 200_000 + b",y\n")]
     return Pipeline(spark).run(specs)
 
 
@@ -96,6 +98,8 @@ def test_duplicates_and_unknown_types(many):
     events = {r["origin"]: r["event"] for r in many.ingest_log().collect()}
     assert (events["two.csv"], events["two_again.csv"], events["letter"]) == ("ok", "dedupe", "skip")
     assert many.summary()["candidates"] == 30
+    broken = many.sources.where("origin = 'wide.csv'").first()
+    assert not broken["ok"] and broken["error"].startswith("malformed_csv: field larger")
 
 
 def configured(**changes):
@@ -155,6 +159,21 @@ def test_all_faults_are_told_at_once():
     assert len(faults(bad)) == 8 and all(x in told for x in ("on_missing", "include_conflicts", "emailz", "blob", "fields[1].required", "fields[2]", "used 2 times"))
 
 
+def test_scratch_is_cleared_and_must_be_shared(spark):
+    class Elsewhere:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "yarn", "getConf": staticmethod(lambda: {})})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Elsewhere)
+    path = scratch_path(spark, "own")
+    spark.range(3).write.parquet(path)
+    before = list(spark.sparkContext._dossier_written)
+    spark.sparkContext._dossier_written[:] = [path]  # other tests still read theirs
+    assert clear_scratch(spark) == 1 and not os.path.exists(path.removeprefix("file://"))
+    spark.sparkContext._dossier_written = [p for p in before if p != path]
+
+
 def test_scan_and_command_line(spark, tmp_path, capsys):
     (tmp_path / "a.csv").write_bytes(CSV)
     (tmp_path / "memo.txt").write_bytes(NOTES)
