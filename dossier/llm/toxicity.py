@@ -118,8 +118,9 @@ def _word_sets(docs: DataFrame, key: str, text: str) -> list[np.ndarray]:
                 sets = [np.unique(w.h[i:j]).view(np.int64) for i, j in zip(w.first, w.first[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(sets, pa.list_(pa.int64()))], names=["words"])
 
-    # In the order of the sets themselves, so that the model doesn't hang on the order of tasks.
-    found = map_arrow(docs.select(key, text), run, "words array<long>").toArrow().column("words")
+    # In the order of the sets themselves, so that the model doesn't hang on the order of tasks. One text a key bounds what is collected.
+    texts = docs.select(key, text).groupBy(key).agg(F.min(text).alias(text))
+    found = map_arrow(texts, run, "words array<long>").toArrow().column("words")
     sets = [x.values.to_numpy().view(np.uint64) if x.is_valid else np.zeros(0, np.uint64) for x in found]
     return sorted(sets, key=lambda s: (len(s), s[:8].tolist()))
 
@@ -128,8 +129,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Fit on rows that are not held out: at most POSITIVES documents labelled 1 and UNLABELLED documents of any kind, those with the
     smallest hash of their key. The prior is the share of 1 among all labels that are not held out.
 
-    Null labels and keys are ignored; of several labels of one key the largest counts. Sampled keys are at most
-    POSITIVES + UNLABELLED rows, so they are broadcast to the scan of the texts.
+    Null labels and keys are ignored; of several labels of one key the largest counts, and of several texts the smallest. Keys with equal
+    hashes are taken in order of the keys. Sampled keys are at most POSITIVES + UNLABELLED rows, so they are broadcast to the scan of the texts.
+    Empty tables give a model of the prior alone.
     """
     known = labels.where((fold_of(key) != 0) & F.col(key).isNotNull() & F.col(toxic).isNotNull()).groupBy(key).agg((F.max(toxic) == 1).alias("y"))
     share = known.agg(F.avg(F.col("y").cast("double")).alias("p")).first()["p"]
@@ -146,7 +148,7 @@ def by_hash_of(column: str) -> list:
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """*docs* with score and predicted for every whole text (null counts as empty). Repeated rows get equal scores; an empty table gives no
-    rows; columns named score or predicted are replaced."""
+    rows; columns named score or predicted are replaced; a score at the threshold counts as toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_FEATURES words
     docs = docs.drop("score", "predicted")
     fields, at = docs.columns, docs.columns.index(text)

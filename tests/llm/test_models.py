@@ -113,6 +113,48 @@ def test_one_language_and_ambiguity():
     assert four.decode(np.zeros((1, 7)))[2].all()
 
 
+def test_toxicity_scores_match_brute_force(spark):
+    """Each score is the sigmoid of the bias and the weights of the distinct words, by plain dictionaries."""
+    import re
+    from math import exp
+
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(30)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 12))) for _ in range(60)] + ["W1, w1! w2", None, ""]
+    hashes = dict(zip(vocabulary, toxicity.lowered([" ".join(vocabulary).encode()]).h.tolist()))
+    chosen = {w: rng.uniform(-2, 2) for w in vocabulary[:10]}
+    order = sorted(chosen, key=hashes.get)
+    model = toxicity.Model(np.array([hashes[w] for w in order], np.uint64), np.array([chosen[w] for w in order]), -0.3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.score(docs, model).collect():
+        words = set(re.findall("[a-z0-9]+", (texts[r["doc_id"]] or "").lower()))
+        want = 1 / (1 + exp(0.3 - sum(chosen.get(w, 0) for w in words)))
+        assert abs(r["score"] - want) < 1e-12 and r["predicted"] == (want >= 0.5)
+
+
+def test_nnpu_reaches_a_low_of_its_risk():
+    """The risk is worked out again, term by term; no step away from the fitted model lowers it by much."""
+    rng = np.random.default_rng(6)
+    bad, all_ = np.arange(1, 9, dtype=np.uint64), np.arange(1, 200, dtype=np.uint64)
+    positive = [np.unique(np.concatenate((rng.choice(bad, 4), rng.choice(all_, 10)))) for _ in range(80)]
+    unlabelled = [np.unique(rng.choice(all_, 12)) for _ in range(300)] + [np.unique(np.concatenate((rng.choice(bad, 4), rng.choice(all_, 8)))) for _ in range(60)]
+    prior = 60 / 360
+    model = toxicity.nnpu(positive, unlabelled, prior)
+
+    def risk(weights, bias):
+        known = dict(zip(model.words.tolist(), weights))
+        z = lambda docs: np.array([bias + sum(known.get(w, 0) for w in d.tolist()) for d in docs])
+        zp, zu = z(positive), z(unlabelled)
+        negative = np.mean(np.log1p(np.exp(zu))) - prior * np.mean(np.log1p(np.exp(zp)))
+        return prior * np.mean(np.log1p(np.exp(-zp))) + max(0.0, negative)
+
+    low = risk(model.weights, model.bias)
+    assert set(model.words.tolist()) >= set(bad.tolist()) and low < risk(model.weights * 0, model.bias)
+    for _ in range(40):
+        step = rng.normal(size=len(model.words) + 1) * 0.3
+        assert risk(model.weights + step[:-1], model.bias + step[-1]) > low - 0.02
+
+
 def lm_brute(rows, good, vocab):
     """The same models by counters, over the same word ids and cells."""
     from collections import Counter
