@@ -16,10 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.common import blocks, map_arrow, mix, utf8
+from dossier.llm.common import blocks, map_arrow, utf8
+from dossier.session import materialise
 
 #: Hashed n-gram features; n-gram lengths in bytes; training rows a language at most (the bound on what the driver holds).
 FEATURES, GRAMS, TRAIN_ROWS_PER_LANG = 1 << 14, (1, 2, 3), 400
+#: Languages whose limits are broadcast to pick out texts; more are joined by a shuffle.
+MOST_BROADCAST = 100_000
 UNKNOWN = "und"
 AMBIGUOUS_GAP = 0.1
 
@@ -160,8 +163,9 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     for n in (1024, 32, 1):
         best = Window.partitionBy("lang", F.pmod("h", F.lit(n))).orderBy("h")
         local = local.withColumn("r", F.row_number().over(best)).where(F.col("r") <= per_lang)
-    limits = local.groupBy("lang").agg(F.max("h").alias("most")).withColumnRenamed("lang", "of")
-    near = rows.join(limits, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("most"))).select("lang", "text", "h")
+    limits = materialise(local.groupBy("lang").agg(F.max("h").alias("most")).withColumnRenamed("lang", "of"), "limits")
+    few = limits.count() <= MOST_BROADCAST
+    near = rows.join(F.broadcast(limits) if few else limits, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("most"))).select("lang", "text", "h")
     # Equal hashes may exceed per_lang (repeated rows do); the last rank settles it.
     last = Window.partitionBy("lang").orderBy("h", "text")
     picked = near.withColumn("r", F.row_number().over(last)).where(F.col("r") <= per_lang).select("lang", "text", "r")
