@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossier.llm.common import Words, blocks, map_arrow, utf8
+from dossier.llm.common import Words, blocks, map_arrow, numbered, utf8
 from dossier.llm.langid import fold_of
 
 #: Bounds of the training sample, in documents, and of the features.
@@ -162,3 +162,10 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return map_arrow(docs, run, f"{kinds}, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of *docs* that score below the threshold, with all their columns, whatever their names."""
+    names, rows = docs.columns, numbered(docs)
+    scored = score(rows, model, f"c{names.index(key)}", f"c{names.index(text)}", threshold)
+    return scored.where("predicted = 0").drop("score", "predicted").toDF(*names)
