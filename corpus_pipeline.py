@@ -2,7 +2,7 @@
 
 Stages, each over all that its predecessor kept: toxicity, exact dedup, MinHash near-dedup, benchmark decontamination, byte-level BPE.
 All but the last return the columns of documents; the last adds ids and n_tokens. Rows with null texts count as empty
-throughout; empty texts are one group of copies.
+throughout; empty texts are one group of copies. Rows without a doc_id are linked with nothing; columns may bear any names.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from dossier.session import scratch_path
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic. It learns from the table of labels."""
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.keep_clean(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of each document."""
+    """doc_id, n_tokens and ids of each document; other columns are left behind."""
     coded = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY_FILE), public_tokenizers.PATTERN)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
