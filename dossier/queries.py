@@ -461,3 +461,66 @@ def weak_matches(spark, sf_dir):
     result = Pipeline(spark).run(files.unionByName(notes), check=False)
     records = result.membership.groupBy("group_id").agg(F.count(F.lit(1)).alias("records"))
     return result.profiles.join(records, "group_id").select(F.col("experience")[0]["company"].alias("company"), "records", "full_name")
+
+
+@query(f"""
+SELECT n_nationkey, coalesce(a.code, n_name) AS value, a.code IS NOT NULL AS canonical, CASE WHEN a.code IS NULL THEN 'unknown_country_kept_as_text' ELSE '' END AS reason
+FROM nation LEFT JOIN (VALUES {", ".join(f"('{k}', '{v}')" for k, v in COUNTRY_ALIASES.items())}) a(alias, code) ON a.alias = lower(n_name)
+""")
+def nation_countries(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").withColumn("n", normalize_country(F.col("n_name")))
+    return n.select("n_nationkey", F.col("n.value").alias("value"), F.col("n.canonical").alias("canonical"), F.col("n.reason").alias("reason"))
+
+
+@query("""
+WITH d AS (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d FROM orders)
+SELECT o_orderkey, y || '-' || lpad(CAST(CASE WHEN d > 12 THEN m ELSE d END AS VARCHAR), 2, '0') AS us, y || '-' || lpad(CAST(m AS VARCHAR), 2, '0') AS eu, y || '-' || lpad(CAST(m AS VARCHAR), 2, '0') AS year_first,
+CASE WHEN y % 100 < 50 THEN 2000 + y % 100 ELSE 1900 + y % 100 END || '-' || lpad(CAST(m AS VARCHAR), 2, '0') AS two_digits FROM d
+""")
+def date_locales(spark, sf_dir):
+    """Days and months in either order, a year before its month, and years of two digits."""
+    o, d = table(spark, sf_dir, "orders"), F.col("o_orderdate")
+    value = lambda pattern, locale: normalize_date(F.date_format(d, pattern), locale)["value"]
+    return o.select("o_orderkey", value("dd/MM/yyyy", "US").alias("us"), value("dd.MM.yyyy", "EU").alias("eu"), value("yyyy MMM", None).alias("year_first"), value("MMM yy", None).alias("two_digits"))
+
+
+@query("""
+SELECT c_custkey, CASE c_nationkey % 3 WHEN 0 THEN '+49' || lpad(c_custkey::VARCHAR, 8, '0') WHEN 1 THEN '+10' || lpad(c_custkey::VARCHAR, 8, '0') ELSE '+44' || lpad(c_custkey::VARCHAR, 8, '0') END AS e164,
+CASE c_nationkey % 3 WHEN 0 THEN 'region_from:DE' WHEN 1 THEN 'region_from:US' ELSE 'region_from:GB' END AS reason, c_custkey::VARCHAR AS ext FROM customer
+""")
+def phone_regions(spark, sf_dir):
+    """Numbers without a country code: those of the candidate's country, with its trunk zero where it has one, else the default's; and extensions."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_nationkey") % 3
+    raw = F.concat(F.lit("0"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.lit(" ext "), F.col("c_custkey").cast("string"))
+    n = normalize_phone(raw, F.when(k == 0, "DE").when(k == 1, "us"), "GB")
+    return c.select("c_custkey", n.alias("n")).select("c_custkey", F.col("n.value").alias("e164"), F.replace("n.reason", F.lit("us"), F.lit("US")).alias("reason"), F.col("n.ext").alias("ext"))
+
+
+@query("""
+WITH b AS (SELECT c_nationkey, c_mktsegment, count(*) AS size FROM customer GROUP BY ALL)
+SELECT CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS key, size, size > 12 AS skipped FROM b WHERE size > 12
+UNION ALL SELECT 'pairs', coalesce(sum(size * (size - 1) // 2), 0)::BIGINT, false FROM b WHERE size <= 12
+""")
+def block_cap(spark, sf_dir):
+    """Blocks beyond the cap are reported with their sizes and make no pairs; all others make every pair."""
+    c = table(spark, sf_dir, "customer")
+    blocks = c.select("c_custkey", F.concat_ws("|", "c_nationkey", "c_mktsegment").alias("key"))
+    pairs, skipped = blocked_pairs(blocks, c.select("c_custkey"), node="c_custkey", block=("key",), cap=12)
+    return skipped.select("key", "size", F.lit(True).alias("skipped")).unionByName(pairs.agg(F.lit("pairs").alias("key"), F.count(F.lit(1)).alias("size"), F.lit(False).alias("skipped")))
+
+
+FLAGGED = {
+    "fields": [{"path": "who.name", "from": "full_name", "normalize": "lower"}, {"path": "knows", "from": "skills[].name", "type": "string[]", "normalize": "canonical"}, {"path": "headline"}, {"path": "trust", "compute": "overall_confidence", "type": "number"}],
+    "include_confidence": True, "include_conflicts": True, "on_missing": "null",
+}
+
+
+@query("""
+SELECT lower(c_name) AS name, CASE WHEN c_custkey % 5 = 0 THEN '["Kafka","Python"]' ELSE '[]' END AS knows, NULL::VARCHAR AS headline, CASE WHEN c_custkey % 5 = 0 THEN '0.86' ELSE '0.8' END AS confidence, '[]' AS conflicts, true AS trusted FROM customer
+""")
+def view_flags(spark, sf_dir):
+    """A view with renamed, normalised and computed fields, nulls for what is missing, confidences and conflicts."""
+    view = Pipeline(spark, FLAGGED).run(customer_sources(spark, sf_dir)).json()
+    at = lambda path: F.get_json_object("json", path)
+    return view.select(at("$.who.name").alias("name"), at("$.knows").alias("knows"), at("$.headline").alias("headline"), at("$.field_confidence['who.name']").alias("confidence"), at("$.conflicts").alias("conflicts"), at("$.trust").cast("double").between(0.1, 0.99).alias("trusted"))
