@@ -68,9 +68,7 @@ def clear_scratch(spark: SparkSession) -> int:
     """Delete what this session has written to the shared folder so far, and return how many paths that were. Results that are still to be
     computed read those paths: call this once they are written elsewhere."""
     written = spark.sparkContext.__dict__.pop("_dossier_written", [])
-    for path in written:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+    discard(spark, *written)
     return len(written)
 
 
@@ -80,4 +78,14 @@ def materialise(df: DataFrame, name: str, *by: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._dossier_path = path
+    return out
+
+
+def discard(spark: SparkSession, *kept: DataFrame | str) -> None:
+    """Delete tables that materialise() wrote (or paths of scratch_path()), once nothing that is still to be computed reads them."""
+    for x in kept:
+        path = x if isinstance(x, str) else x._dossier_path
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
