@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm.common import OTHER_BASE, Words, blocks, map_arrow, mix, range_hash, utf8
-from dossier.session import materialise, scratch_path
+from dossier.session import discard, materialise, scratch_path
 
 WINDOW, GRAM = 35, 8
 #: Windows that are looked at together: bounds the arrays for a very long text.
@@ -115,11 +115,13 @@ class FingerprintIndex:
         self.batches: list[DataFrame] = []
         self.verdicts: list[DataFrame] = []
         self.compactions = 0
+        self.paths: dict[str, str] = {}
 
     def _table(self, rows: DataFrame, kind: str, *by: str) -> str:
         name = f"fingerprints_{kind}_{uuid.uuid4().hex}"
+        self.paths[name] = scratch_path(self.spark, kind)
         dealt = rows.repartition(self.buckets, *by).sortWithinPartitions(*by)
-        dealt.write.option("path", scratch_path(self.spark, kind)).option("compression", "zstd").bucketBy(self.buckets, *by).sortBy(*by).saveAsTable(name, format="parquet")
+        dealt.write.option("path", self.paths[name]).option("compression", "zstd").bucketBy(self.buckets, *by).sortBy(*by).saveAsTable(name, format="parquet")
         return name
 
     def _write(self, found: DataFrame, summary: DataFrame) -> Run:
@@ -128,7 +130,9 @@ class FingerprintIndex:
         hot = materialise(self.spark.table(anchors).where("parts > 1").select("anchor", "parts"), "hot")
         salt = F.coalesce(F.pmod(F.xxhash64("covered", "row"), F.col("parts")), F.lit(0)).cast("int")
         salted = found.join(hot, "anchor", "left").select("anchor", salt.alias("salt"), "covered", "row", "first", "windows")
-        return Run(anchors, self._table(salted, "entries", "anchor", "salt"))
+        run = Run(anchors, self._table(salted, "entries", "anchor", "salt"))
+        discard(self.spark, hot)
+        return run
 
     def _entries(self, batch: DataFrame) -> DataFrame:
         window, gram = self.window, self.gram
@@ -156,6 +160,7 @@ class FingerprintIndex:
         self.batches.append(batch)
         found = reduce(DataFrame.unionByName, [self._lookup(r, touched) for r in self.runs])
         self.verdicts.append(self._judged(found))
+        discard(self.spark, fresh, touched)
         if len(self.runs) > self.most_runs:
             self.compact()
 
@@ -176,14 +181,18 @@ class FingerprintIndex:
             summed = (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n")
             summary = summary.join(other.hint("merge"), "anchor", "full").select("anchor", summed, F.least("low", "low2").alias("low"), F.greatest("high", "high2").alias("high"))
         merged = self._write(reduce(DataFrame.unionByName, [self.spark.table(r.entries).drop("salt") for r in self.runs]), summary)
+        told = materialise(self._merged(), "verdicts")
         self.close()
-        self.runs, self.verdicts, self.compactions = [merged], [materialise(self._merged(), "verdicts")], self.compactions + 1
+        self.runs, self.verdicts, self.compactions = [merged], [told], self.compactions + 1
 
     def close(self) -> None:
-        """Take the runs' tables out of the catalog. Their files stay, as the shared folder's do."""
+        """Drop the runs and verdicts with their files: whatever was asked of the index must have been written by then."""
         for r in self.runs:
             for t in (r.anchors, r.entries):
                 self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+                discard(self.spark, self.paths.pop(t))
+        discard(self.spark, *self.verdicts)
+        self.runs, self.verdicts = [], []
 
     def _merged(self) -> DataFrame:
         return reduce(DataFrame.unionByName, self.verdicts).groupBy("anchor", "covered").agg(F.bit_or("mask").alias("mask"))
@@ -224,7 +233,9 @@ class FingerprintIndex:
         windows = materialise(windows, "windows")
         twice = windows.groupBy("anchor", "print").agg(F.sum("n").alias("total")).where("total > 1").select("anchor", "print")
         bits = windows.join(twice, ["anchor", "print"]).groupBy("anchor", "covered").agg(F.bit_or(F.expr("shiftleft(1L, `offset`)")).alias("mask"))
-        return materialise(whole.unionByName(bits).groupBy("anchor", "covered").agg(F.bit_or("mask").alias("mask")), "judged")
+        judged = materialise(whole.unionByName(bits).groupBy("anchor", "covered").agg(F.bit_or("mask").alias("mask")), "judged")
+        discard(self.spark, classes, asked, windows)
+        return judged
 
 
 def row_hash(key: str, text: str):
