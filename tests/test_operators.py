@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from dossier.operators import entries
+from dossier import queries
+from dossier.operators import entries, resolve
 from dossier.operators.graph import connected_components
 from dossier.operators.resolve import blocked_pairs, star_edges
 from dossier.operators.vote import evidence_groups, merge_spans, ranked, recency, vote, year_of
@@ -52,6 +53,28 @@ def test_stars_and_blocks(spark):
     assert [(r["key"], r["size"]) for r in skipped.collect()] == [("big", 9)]
 
 
+def test_pairs_of_nodes_in_several_blocks_are_told_once_and_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "CELL", 3)
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["company", "school"]), rng.choice(["x", "y", None])) for i in range(30) for _ in range(4)]
+    free, cap = {i for i in range(30) if i % 4 == 1}, 60
+    pairs, skipped = blocked_pairs(spark.createDataFrame(rows, "record_id int, kind string, key string"), spark.createDataFrame([(i,) for i in free], "record_id int"), cap=cap)
+    groups: dict = {}
+    for i, kind, key in rows:
+        if key:
+            groups.setdefault((kind, key), []).append(i)
+    want = {(a, b) for g in groups.values() if len(g) <= cap for a in g for b in g if a < b and {a, b} & free}
+    assert sorted(tuple(r) for r in pairs.collect()) == sorted(want) and skipped.count() == 0
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan[: plan.index("Join")]
+
+
+def test_customers_without_a_nation_make_no_pairs(spark, tmp_path):
+    rows = [(7, None, "A"), (8, None, "A"), (14, 1, "A"), (15, 1, "A"), (16, 1, None), (21, 1, "B")]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    assert [tuple(r) for r in queries.QUERIES["tier_b_pairs"](spark, str(tmp_path)).collect()] == [(14, 15)]
+
+
 def claims(spark, rows):
     return spark.createDataFrame([("g", k, v, s, f"t:{s}", w, c) for k, v, s, w, c in rows], "g string, match_key string, value string, source_id string, label string, w double, c double")
 
