@@ -236,6 +236,33 @@ def test_lm_counts_are_exact_beyond_any_fixed_size(spark):
             assert abs(got[i][k] - want) < 1e-9
 
 
+def test_numbers_survive_their_coding():
+    for x in ([], [0], [0, 0, 0], [255, 256, 1], [1 << 62, 3]):
+        assert lm_score.numbers(lm_score.planes(np.array(x, np.int64))).tolist() == x
+    keys = np.array([3, 1 << 40, (1 << 64) - 2], np.uint64)
+    assert (lm_score.decoded(lm_score.coded(keys)) == keys).all()
+
+
+def test_a_group_of_texts_takes_bounded_memory():
+    """Tables of a group's grams, and of what it sends, in bytes a word: what an executor's memory is made of."""
+    import tracemalloc
+
+    rng = np.random.default_rng(13)
+    texts = [" ".join(f"w{k}" for k in (rng.zipf(1.3, 400) % 50_000).tolist()).encode() for _ in range(1000)]
+    lm_score.Grams(texts[:2])
+    tracemalloc.start()
+    g = lm_score.Grams(texts)
+    built = tracemalloc.get_traced_memory()[1] / len(g.doc)
+    n = g.counts(np.ones(len(texts), bool))
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    g.losses(len(texts), (n, n), 1000, (1000, 5000))
+    scored = (tracemalloc.get_traced_memory()[1] - held) / len(g.doc)
+    tracemalloc.stop()
+    assert built < 80 and scored < 40, (built, scored)
+    assert len(lm_score.coded(g.keys)) + 2 * len(lm_score.planes(n)) < 16 * len(g.keys)
+
+
 def test_languages_are_trained_in_as_many_rounds_at_every_size(monkeypatch):
     rounds, make = [], np.random.default_rng
 
