@@ -21,7 +21,7 @@ from math import comb, prod
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.llm.common import OTHER_BASE, Words, blocks, map_arrow, mix, utf8
@@ -189,6 +189,15 @@ class Cell:
         return out
 
 
+def _near_centres(pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of nodes and the centres (node, cell) that they are compared with on full sets, the links (a, b), the smaller node last."""
+    # No renaming below the joins: both sides are one shuffle of the sets.
+    both = pivots.alias("p").join(sets.alias("x"), F.col("p.node") == F.col("x.node")).join(sets.alias("y"), F.col("p.cell") == F.col("y.node"))
+    own, other = F.col("x.shingles"), F.col("y.shingles")
+    sized = both.select(F.greatest("p.node", "p.cell").alias("a"), F.least("p.node", "p.cell").alias("b"), F.size(F.array_intersect(own, other)).cast("long").alias("c"), (F.size(own) + F.size(other)).alias("n"))
+    return sized.where(F.col("c") * 100 >= percent * (F.col("n") - F.col("c"))).select("a", "b")
+
+
 def _linked(members: DataFrame, visitors: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
     """Links (a, b) between components: each visitor (cell, node, label) compared on full sets with the members (cell, node, label) of its cell.
 
@@ -227,7 +236,8 @@ def _linked(members: DataFrame, visitors: DataFrame, sets: DataFrame, percent: i
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], b.column(5).type) for k in (0, 1)], names=["a", "b"])
 
-    return materialise(map_arrow(placed, run, f"a {kind}, b {kind}").distinct(), name)
+    found = map_arrow(placed, run, f"a {kind}, b {kind}")
+    return materialise(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
 
 
 def _meetings(members: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -243,7 +253,8 @@ def _meetings(members: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFram
     several = marked.groupBy("bucket").agg(F.min("order").alias("x"), F.max("order").alias("y")).where("x <> y").select("bucket")
     open_ = materialise(marked.join(several, "bucket", "left_semi"), "minhash-open")
     cells = open_.groupBy("node").agg(F.max("centre")["node"].alias("cell"), F.first("order").alias("order"))
-    top = open_.join(cells.select("node", "cell"), "node").groupBy("bucket", "cell").agg(F.max("order").alias("top"))
+    placed = open_.select("bucket", F.max("centre").over(Window.partitionBy("node"))["node"].alias("cell"), "order")
+    top = placed.groupBy("bucket", "cell").agg(F.max("order").alias("top"))
     top = top.select(F.col("bucket").alias("met"), "cell", "top")
     visits = open_.join(top, (F.col("bucket") == F.col("met")) & (F.col("order") < F.col("top"))).select("cell", "node", F.col("order.label").alias("label")).distinct()
     return cells.select("cell", "node", F.col("order.label").alias("label")), materialise(visits, "minhash-visits")
@@ -275,24 +286,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     shared = keys.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high").select("bucket", "size")
     members = materialise(keys.join(shared, "bucket"), "minhash-buckets")
     # A bucket's centre meets the most others: in a group of copies it is one of the least changed.
-    ranked = members.join(members.groupBy("node").agg(F.sum("size").alias("met")), "node").select("bucket", F.struct("met", "node").alias("rank"))
+    ranked = members.select("bucket", F.struct(F.sum("size").over(Window.partitionBy("node")).alias("met"), "node").alias("rank"))
     centres = ranked.groupBy("bucket").agg(F.max("rank").alias("centre"))
     members = materialise(members.select("bucket", "node").join(centres, "bucket"), "minhash-members")
-    sets = materialise(_sets(docs, members.select("node").distinct(), key, text, words), "minhash-sets")
+    homes = materialise(members.groupBy("node").agg(F.max("centre")["node"].alias("cell")), "minhash-pivots")
+    sets = materialise(_sets(docs, homes.select("node"), key, text, words), "minhash-sets")
 
-    pivots = members.groupBy("node").agg(F.max("centre")["node"].alias("cell")).where("node <> cell")
-    pivots = materialise(pivots, "minhash-pivots")
-    centre = pivots.select("cell").distinct().select("cell", F.col("cell").alias("node"), F.col("cell").alias("label"))
-    links = _linked(centre, pivots.withColumn("label", F.col("node")), sets, percent, "minhash-links")
-    components = materialise(connected_components(links, "a", "b"), "minhash-components")
+    links = materialise(_near_centres(homes.where("node <> cell"), sets, percent), "minhash-links")
+    components = materialise(connected_components(links, "a", "b", written=True), "minhash-components")
     standing, visits = _meetings(members, components)
     more = _linked(standing, visits, sets, percent, "minhash-more")
     # Links between components join whole components.
-    joined = connected_components(more, "a", "b").select(F.col("vertex").alias("component"), F.col("component").alias("joined"))
-    lone = reps.select("node").distinct().join(components, F.col("node") == F.col("vertex"), "left").select("node", F.coalesce("component", "node").alias("component"))
-    components = lone.join(joined, "component", "left").select(F.col("node").alias("vertex"), F.coalesce("joined", "component").alias("component"))
-
-    home = reps.join(components.withColumnRenamed("vertex", "node"), "node").select("sequence", F.col("component").alias("home"))
+    joined = connected_components(more, "a", "b", written=True).select(F.col("vertex").alias("component"), F.col("component").alias("joined"))
+    home = reps.join(components, F.col("node") == F.col("vertex"), "left").select("sequence", F.coalesce("component", "node").alias("component"))
+    home = home.join(joined, "component", "left").select("sequence", F.coalesce("joined", "component").alias("home"))
     placed = rows.select("key", "sequence", "n_shingles").join(home, "sequence", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("key").isNotNull(), F.col("home")).otherwise(F.col("key"))
     return placed.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"))

@@ -134,6 +134,25 @@ def test_steps_grow_with_a_hot_group_in_proportion(docs_of, monkeypatch):
     assert all(sizes[1200][k] <= 6.5 * max(x, 20) for k, x in sizes[300].items()), sizes
 
 
+def test_tasks_of_a_hot_group_are_few(spark, docs_of):
+    """Where little data is dealt out to many partitions, time goes with the number of stages: what each runs is next to nothing."""
+    docs = docs_of(hot_group(60))
+    coalesced = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("hot", "near copies")
+    try:
+        minhash.near_duplicates(docs, words=3, percent=85).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+    tracker, stages = spark.sparkContext.statusTracker(), set()
+    for job in tracker.getJobIdsForGroup("hot"):
+        stages |= set(tracker.getJobInfo(job).stageIds)
+    infos = [tracker.getStageInfo(k) for k in stages]
+    ran = [i.numTasks for i in infos if i and i.numCompletedTasks]
+    assert len(ran) < 98, (len(ran), sum(ran))
+
+
 def test_words_that_fold_alike_are_told_apart(docs_of):
     """Thue-Morse words, which polynomial hashes modulo a power of two confuse."""
     def morse(n, a, b):
